@@ -10,6 +10,7 @@ from .piece_codec import decode_pieces, encode_pieces
 from .sharding import shuffle_into_shards
 from .source_mixing import mix_sources
 from .token_counts import count_tokens
+from .toxicity import fit_toxicity, fold, score_toxicity
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,6 +31,14 @@ def op3_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), digest(F.concat_ws(",", F.col("ids").cast("array<string>"))).alias("ids_sha256"), digest(F.col("decoded")).alias("decoded_sha256"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every whole text; labels of fold 0 are held out."""
+    docs = documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(fold() != 0)
+    found = score_toxicity(docs.select("doc_id", "text"), fit_toxicity(docs, labels))
+    return found.select("doc_id", (fold() == 0).alias("held_out"), F.col("toxicity").alias("score"), (F.col("toxicity") >= 0.5).cast("int").alias("predicted"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of every whole text."""
     return count_tokens(documents(spark, sf_dir))
@@ -41,7 +50,7 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_sharding, op3_piece_codec, op9_token_counts, op10_source_mixing)}
+    return {f.__name__: f for f in (op1_sharding, op3_piece_codec, op5_toxicity, op9_token_counts, op10_source_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:

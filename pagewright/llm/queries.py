@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import crc32_of
+from .imatch import band_lexicon, fingerprint_of, likeness, with_next
 from .piece_codec import decode_pieces, encode_pieces
 from .sharding import shuffle_into_shards
 from .source_mixing import mix_sources
@@ -39,6 +40,19 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold() == 0).alias("held_out"), F.col("toxicity").alias("score"), (F.col("toxicity") >= 0.5).cast("int").alias("predicted"))
 
 
+def op7_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every whole text and of its edited text, whose last quarter comes from the next document."""
+    docs = documents(spark, sf_dir).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    lexicon = band_lexicon(docs, "text")
+    printed = docs.withColumn("fingerprint", fingerprint_of(F.col("text"), lexicon))
+    n_ranges = min(1 << 16, max(128, docs.count() // 1024))
+    rows = with_next(printed, "doc_id", ["text", "fingerprint"], n_ranges).withColumn("n_chars", F.char_length("text").cast("long"))
+    cut = F.floor(F.col("n_chars") / 4).cast("int")
+    edited = F.concat(F.substring("text", F.lit(1), F.col("n_chars").cast("int") - cut), F.substring("next_text", F.lit(1), cut))
+    rows = rows.withColumn("edited", edited).withColumn("edited_fingerprint", fingerprint_of(F.col("edited"), lexicon))
+    return rows.select("doc_id", "n_chars", F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"), likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of every whole text."""
     return count_tokens(documents(spark, sf_dir))
@@ -50,7 +64,7 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_sharding, op3_piece_codec, op5_toxicity, op9_token_counts, op10_source_mixing)}
+    return {f.__name__: f for f in (op1_sharding, op3_piece_codec, op5_toxicity, op7_imatch, op9_token_counts, op10_source_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .common import crc32_of
 from .imatch import band_lexicon, fingerprint_of, likeness, with_next
+from .minhash_dedup import near_duplicates
 from .piece_codec import decode_pieces, encode_pieces
 from .sharding import shuffle_into_shards
 from .source_mixing import mix_sources
@@ -32,6 +33,11 @@ def op3_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), digest(F.concat_ws(",", F.col("ids").cast("array<string>"))).alias("ids_sha256"), digest(F.col("decoded")).alias("decoded_sha256"))
 
 
+def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of documents on 4-word shingles at a Jaccard similarity of 0.8."""
+    return near_duplicates(documents(spark, sf_dir), k=4, percent=80)
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every whole text; labels of fold 0 are held out."""
     docs = documents(spark, sf_dir)
@@ -64,7 +70,7 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_sharding, op3_piece_codec, op5_toxicity, op7_imatch, op9_token_counts, op10_source_mixing)}
+    return {f.__name__: f for f in (op1_sharding, op3_piece_codec, op4_minhash_dedup, op5_toxicity, op7_imatch, op9_token_counts, op10_source_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -5,8 +5,9 @@ signatures are compared batch by batch and it is given up once the posterior cha
 falls below the chosen miss probability; survivors are confirmed on full shingle sets.
 
 A bucket of m classes is first compared with its least class only, m - 1 pairs.  Where that leaves several
-components in a bucket, later rounds compare across them, so no link between components is lost, and a group
-of copies of any size costs pairs in proportion to its size.
+components in a bucket, its classes go through an exact prefix-filtered join across components, so no link
+between components is lost, a group of copies costs pairs in proportion to its size, and classes that merely
+share a common passage are told apart by bounds before any pair is made.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ from .components import connected_components
 from .shingles import jaccard_counts, minhash, shingle_hashes, word_hashes
 
 BANDS, ROWS = 25, 5
+#: Cells of the table of shingle counts that orders shingles from rare to common.
+CELLS = 1 << 18
 #: Chance that a pair of the wanted similarity is given up.
 MISS = 1e-5
 
@@ -109,6 +112,53 @@ def confirmed(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, k:
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
+def across_components(open_: DataFrame, docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
+    """Candidate pairs (a, b), a > b, between the components of open_ (class_id, component).
+
+    Exact: shingles have one order for all classes, from rare to common, and two sets of the wanted similarity
+    share one among the first n - ceil(percent % of n) + 1 of each.  At the first shared one, what is left of
+    either set bounds their intersection, and a pair is made only if that bound allows the similarity.
+    """
+    rows = docs.select(F.col(id_col).cast("long").alias("class_id"), F.col(text_col).cast("binary").alias("text"))
+    texts = materialize(rows.join(open_, "class_id"), "minhash-open-texts")
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
+        for part in slices(batches, "text", 2 << 20):
+            words, offsets, _, _ = word_hashes([t or b"" for t in part.column(1).to_pylist()])
+            yield part, [shingle_hashes(words[x:y], k) for x, y in zip(offsets[:-1], offsets[1:], strict=True)]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(CELLS, np.int64)
+        for _, found in sets(batches):
+            total += np.bincount(np.concatenate(found).astype(np.uint64) % np.uint64(CELLS), minlength=CELLS).astype(np.int64)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["cell", "n"])
+
+    counted = texts.mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # at most CELLS rows
+    common = np.zeros(CELLS, np.int64)
+    common[counted["cell"].to_numpy()] = counted["n"].to_numpy()
+
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, found in sets(batches):
+            owner, shingle, place, size = [], [], [], []
+            for i, own in enumerate(found):
+                n = len(own)
+                first = own[np.lexsort((own, common[own % np.uint64(CELLS)]))][: n - -(-percent * n // 100) + 1]
+                owner.append(np.full(len(first), i))
+                shingle.append(first.view(np.int64))
+                place.append(np.arange(len(first)))
+                size.append(np.full(len(first), n))
+            at = pa.array(np.concatenate(owner).astype(np.int64))
+            yield pa.RecordBatch.from_arrays([part.column(0).take(at), part.column(2).take(at), *(pa.array(np.concatenate(x).astype(np.int64)) for x in (shingle, place, size))], ["class_id", "component", "shingle", "place", "n"])
+
+    found = materialize(texts.select("class_id", "text", "component").mapInArrow(prefixes, "class_id long, component long, shingle long, place long, n long"), "minhash-prefixes")
+    x, y = found.alias("x"), found.alias("y")
+    left = F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))
+    reachable = 100 * left >= percent * (F.col("x.n") + F.col("y.n") - left)
+    pairs = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.component") < F.col("y.component")) & reachable)
+    return pairs.select(F.greatest("x.class_id", "y.class_id").alias("a"), F.least("x.class_id", "y.class_id").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
     """Rows (doc_id, n_shingles, component_id, kept), one for each row of docs.
 
@@ -135,9 +185,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     components = materialize(connected_components(links), "minhash-components")
     placed = members.join(components, F.col("class_id") == F.col("node"), "left").select("band", "class_id", F.coalesce("component", "class_id").alias("component"))
     split = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("band")
-    open_ = materialize(placed.join(split, "band", "left_semi"), "minhash-open")
-    x, y = open_.alias("x"), open_.alias("y")
-    across = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.component") < F.col("y.component"))).select(F.greatest("x.class_id", "y.class_id").alias("a"), F.least("x.class_id", "y.class_id").alias("b")).distinct()
+    open_ = materialize(placed.join(split, "band", "left_semi").select("class_id", "component").distinct(), "minhash-open")
+    across = across_components(open_, docs, id_col, text_col, k, percent)
     more = test(materialize(across.join(tested, ["a", "b"], "left_anti"), "minhash-pairs"))
     components = connected_components(links.unionAll(more))
     found = classes.select("same", "class_id").join(components, F.col("class_id") == F.col("node"), "left").select("same", F.coalesce("component", "class_id").alias("component"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import crc32_of
+from .embedding_dedup import near_duplicate_vectors
 from .imatch import band_lexicon, fingerprint_of, likeness, with_next
 from .minhash_dedup import near_duplicates
 from .piece_codec import decode_pieces, encode_pieces
@@ -26,6 +27,11 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), crc32_of(text).alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all embeddings at a cosine of 0.9."""
+    return near_duplicate_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op3_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the ids of every text and of what they decode to."""
     found = decode_pieces(encode_pieces(documents(spark, sf_dir)))
@@ -70,7 +76,7 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_sharding, op3_piece_codec, op4_minhash_dedup, op5_toxicity, op7_imatch, op9_token_counts, op10_source_mixing)}
+    return {f.__name__: f for f in (op1_sharding, op2_embedding_dedup, op3_piece_codec, op4_minhash_dedup, op5_toxicity, op7_imatch, op9_token_counts, op10_source_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -9,6 +9,7 @@ from .common import crc32_of
 from .embedding_dedup import near_duplicate_vectors
 from .imatch import band_lexicon, fingerprint_of, likeness, with_next
 from .minhash_dedup import near_duplicates
+from .paragraph_dedup import repeated_passages
 from .piece_codec import decode_pieces, encode_pieces
 from .sharding import shuffle_into_shards
 from .source_mixing import mix_sources
@@ -65,6 +66,12 @@ def op7_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_chars", F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"), likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"))
 
 
+def op8_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte ranges of documents that repeat a passage of another document or an earlier place."""
+    found = repeated_passages(documents(spark, sf_dir))
+    return found.select("doc_id", "first_doc_id", F.col("start").alias("start_byte"), F.col("end").alias("end_byte"), (F.col("end") - F.col("start")).alias("n_bytes"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of every whole text."""
     return count_tokens(documents(spark, sf_dir))
@@ -76,7 +83,7 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_sharding, op2_embedding_dedup, op3_piece_codec, op4_minhash_dedup, op5_toxicity, op7_imatch, op9_token_counts, op10_source_mixing)}
+    return {f.__name__: f for f in (op1_sharding, op2_embedding_dedup, op3_piece_codec, op4_minhash_dedup, op5_toxicity, op7_imatch, op8_paragraph_dedup, op9_token_counts, op10_source_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -126,7 +126,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
         model = train(rows["text"].tolist(), rows["__y"].tolist())
         yield pd.DataFrame({"feature": list(model), "weight": list(model.values())})
 
-    return {r["feature"]: r["weight"] for r in sample.coalesce(1).mapInPandas(fit, "feature string, weight double").collect()}
+    return {r["feature"]: r["weight"] for r in sample.repartition(1).mapInPandas(fit, "feature string, weight double").collect()}
 
 
 class SentenceScorer:

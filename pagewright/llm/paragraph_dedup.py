@@ -1,10 +1,11 @@
 """Substring dedup by paragraph MinHash banding.
 
-Two kinds of passages are compared, both of at least MIN_WORDS words: paragraphs (lines), by MinHash bands
-tuned for high recall with an exact Jaccard check, and runs of words that start at any sentence, by content, so
-that a passage is found inside longer paragraphs as well.  Equal passages are one class; verified
-pairs of classes are clustered into components; each component keeps its first occurrence, by document id and
-place, and every other one is a repeat.
+Two kinds of passages are compared.  Paragraphs (lines) of at least MIN_WORDS words meet by MinHash bands tuned
+for high recall and are confirmed by exact Jaccard.  Runs of RUN words, chosen by winnowing, meet by content, so
+that a passage inside other paragraphs is found as well: any MIN_WORDS equal words in a row share a chosen run.
+Equal passages are one class; confirmed pairs of classes are clustered into components; each component keeps
+its first occurrence, by document id and place.  Every other occurrence is a repeat; repeats in a row are joined
+and extended, word by word, as far as they equal what is kept.
 
 Copies within one slice of input are joined there, so a passage that most documents share reaches the shuffle
 once a slice; in a bucket every passage is compared with the first and with the one before it.
@@ -12,6 +13,7 @@ once a slice; in a bucket every passage is compared with the first and with the
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,99 +24,87 @@ from pyspark.sql.window import Window
 
 from .common import materialize, slices
 from .components import connected_components
-from .shingles import jaccard_counts, minhash, mix, shingle_hashes, word_hashes
+from .shingles import jaccard_counts, minhash, range_hashes, shingle_hashes, word_hashes, mix
 
-MIN_WORDS, SHINGLE, PERCENT = 40, 5, 80
-#: A run ends with a sentence if one ends within so many words more, else after MIN_WORDS.
-SLACK = 8
+MIN_WORDS, SHINGLE, PERCENT = 50, 5, 80
+#: Words of a run; winnowing looks at MIN_WORDS - RUN + 1 neighbouring runs.
+RUN = 32
 #: With 6 bands of 2 rows a pair of similarity 0.8 meets with a chance of 0.998, one of 0.9 with 0.99995.
 BANDS, ROWS = 6, 2
-#: Inside sentences longer than twice MIN_WORDS, one word in so many starts a run as well, chosen by content.
-ANCHOR = 16
-_ENDS = np.zeros(256, bool)
-_ENDS[[ord(c) for c in ".!?"]] = True
-
-
-def passages(texts: list[bytes], min_words: int = MIN_WORDS) -> tuple[np.ndarray, ...]:
+#: Bytes on each side of a repeat within which it is extended; winnowing leaves fewer than MIN_WORDS - RUN + 1 words.
+CONTEXT = 1024
+OWN = ["e", "doc", "start", "end", "wa", "wb"]
+_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
+_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
+
+
+def winnowed(words: np.ndarray, offsets: np.ndarray, run: int, window: int) -> np.ndarray:
+    """First words of the chosen runs: in every `window` neighbouring runs of one text, one of least hash."""
+    n = len(words)
+    if n < run + window - 1:
+        return np.zeros(0, np.int64)
+    hashes = range_hashes(words, np.arange(n - run + 1), np.arange(run, n + 1))
+    ends = np.repeat(offsets[1:], np.diff(offsets))[: n - run + 1]
+    hashes[np.arange(n - run + 1) + run > ends] = np.uint64((1 << 64) - 1)
+    inside = np.flatnonzero(np.arange(n - run - window + 2) + run + window - 1 <= ends[: n - run - window + 2])
+    least = np.lib.stride_tricks.sliding_window_view(hashes, window)
+    chosen = np.zeros(n - run + 1, bool)
+    for i in range(0, len(inside), 1 << 16):
+        part = inside[i : i + (1 << 16)]
+        chosen[part + least[part].argmin(axis=1)] = True
+    return np.flatnonzero(chosen)
+
+
+def passages(texts: list[bytes], min_words: int = MIN_WORDS, run: int = RUN) -> tuple[np.ndarray, ...]:
     """All passages of some texts as (owner, first word, end word, is_line), and the texts' word arrays (hashes, offsets, starts, ends)."""
     hashes, offsets, starts, ends = word_hashes(texts)
     n = len(hashes)
-    none = np.zeros(0, np.int64)
     if not n:
+        none = np.zeros(0, np.int64)
         return none, none, none, none.astype(bool), hashes, offsets, starts, ends
     data = np.frombuffer(b"".join(texts), np.uint8)
     base = np.concatenate([[0], np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))])[:-1]
     owner = np.repeat(np.arange(len(texts)), np.diff(offsets))
-    first, last = np.zeros(n, bool), np.zeros(n, bool)
-    first[offsets[:-1][np.diff(offsets) > 0]] = True
-    last[offsets[1:][np.diff(offsets) > 0] - 1] = True
-    feeds = np.cumsum(data == 10)
-    line = feeds[np.minimum(base[owner] + starts, len(data) - 1)]
-    breaks = np.ones(n, bool)
-    breaks[:-1] = (line[1:] != line[:-1]) | last[:-1]
-    stops = breaks | _ENDS[data[base[owner] + ends - 1]]
-    opens = np.concatenate([[True], stops[:-1]])
-    stop_at = np.flatnonzero(stops)
-    sentence = np.searchsorted(stop_at, np.arange(n))
-    long_ = np.bincount(sentence)[sentence] > 2 * min_words
-    if long_.any():
-        pair = mix(hashes + np.concatenate([hashes[1:], hashes[:1]]) * np.uint64(3))
-        opens |= long_ & (pair % np.uint64(ANCHOR) == 0)
-    begin = np.flatnonzero(opens)
-    limit = offsets[owner[begin] + 1]
-    fits = begin + min_words <= limit
-    begin, limit = begin[fits], limit[fits]
-    nearest = stop_at[np.minimum(np.searchsorted(stop_at, begin + min_words - 1), len(stop_at) - 1)] + 1
-    end = np.where(nearest <= np.minimum(limit, begin + min_words + SLACK), nearest, begin + min_words)
-    break_at = np.flatnonzero(breaks)
-    line_begin = np.concatenate([[0], break_at[:-1] + 1])
-    line_end = break_at + 1
-    whole = line_end - line_begin >= min_words
-    at = np.concatenate([begin, line_begin[whole]])
-    to = np.concatenate([end, line_end[whole]])
-    is_line = np.concatenate([np.zeros(len(begin), bool), np.ones(int(whole.sum()), bool)])
+    line = np.cumsum(data == 10)[base[owner] + starts]
+    breaks = np.flatnonzero(np.concatenate([(line[1:] != line[:-1]) | (owner[1:] != owner[:-1]), [True]])) + 1
+    begin = np.concatenate([[0], breaks[:-1]])
+    whole = breaks - begin >= min_words
+    chosen = winnowed(hashes, offsets, run, min_words - run + 1)
+    at = np.concatenate([chosen, begin[whole]])
+    to = np.concatenate([chosen + run, breaks[whole]])
+    is_line = np.concatenate([np.zeros(len(chosen), bool), np.ones(int(whole.sum()), bool)])
     return owner[at], at, to, is_line, hashes, offsets, starts, ends
 
 
-def content_hashes(words: np.ndarray, at: np.ndarray, to: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the word sequence of each range."""
-    base, inverse = 0xD6E8FEB86659FD93, pow(0xD6E8FEB86659FD93, -1, 1 << 64)
-    from .shingles import _power
-
-    summed = np.zeros(len(words) + 1, np.uint64)
-    np.cumsum(mix(words) * _power(base, len(words)), out=summed[1:])
-    return mix((summed[to] - summed[at]) * _power(inverse, len(words) + 1)[at] + (to - at).astype(np.uint64))
-
-
 def _listed(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
-    """(doc, start, end, e, bands, repeated, fresh): every passage in bytes of its text, its content hash, band hashes of lines, whether the slice holds an equal one, and whether it is the slice's first of its content."""
+    """Every passage: doc, bytes start to end, words wa to wb, content hash e, band hashes of lines, whether the slice holds an equal one (repeated), and whether it is the slice's first of its content (fresh)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text", 4 << 20):
-            owner, at, to, is_line, hashes, _, starts, ends = passages([t or b"" for t in part.column(1).to_pylist()], min_words)
+            owner, at, to, is_line, hashes, offsets, starts, ends = passages([t or b"" for t in part.column(1).to_pylist()], min_words)
             if not len(owner):
                 continue
-            e = content_hashes(hashes, at, to)
+            e = range_hashes(hashes, at, to)
             ids = part.column(0).to_numpy()[owner]
             order = np.lexsort((starts[at], ids, e))
             owner, at, to, is_line, e, ids = (x[order] for x in (owner, at, to, is_line, e, ids))
             new = np.concatenate([[True], e[1:] != e[:-1]])
             group = np.cumsum(new) - 1
             repeated = np.bincount(group)[group] > 1
-            lined = np.zeros(int(group[-1]) + 1, bool)
-            np.logical_or.at(lined, group, is_line)
+            lined = np.bincount(group, is_line) > 0
             bands: list[np.ndarray | None] = [None] * len(e)
             for i in np.flatnonzero(new & lined[group]):
                 signed = minhash(shingle_hashes(hashes[at[i] : to[i]], SHINGLE), BANDS * ROWS).astype(np.uint64).reshape(BANDS, ROWS)
-                bands[i] = mix(signed[:, 0] << np.uint64(32) | signed[:, 1]) + np.arange(BANDS, dtype=np.uint64)
-            columns = [pa.array(ids), pa.array(starts[at].astype(np.int32)), pa.array(ends[to - 1].astype(np.int32)), pa.array(e.view(np.int64)), pa.array([None if b is None else b.view(np.int64) for b in bands], pa.list_(pa.int64())), pa.array(repeated), pa.array(new)]
-            yield pa.RecordBatch.from_arrays(columns, ["doc", "start", "end", "e", "bands", "repeated", "fresh"])
+                bands[i] = (mix(signed[:, 0] << np.uint64(32) | signed[:, 1]) + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
+            places = [starts[at], ends[to - 1], at - offsets[owner], to - offsets[owner]]
+            columns = [pa.array(e.view(np.int64)), pa.array(ids), *(pa.array(x.astype(np.int32)) for x in places), pa.array(bands, pa.list_(pa.int64())), pa.array(repeated), pa.array(new)]
+            yield pa.RecordBatch.from_arrays(columns, [*OWN, "bands", "repeated", "fresh"])
 
     rows = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("binary").alias("text"))
-    return rows.mapInArrow(run, "doc long, start int, end int, e long, bands array<long>, repeated boolean, fresh boolean")
+    return rows.mapInArrow(run, "e long, doc long, start int, end int, wa int, wb int, bands array<long>, repeated boolean, fresh boolean")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Classes (a, b) of near pairs whose shingle sets have 100 * intersection >= percent * union."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,58 +117,126 @@ def _verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, per
             good = pa.array([100 * shared >= percent * union > 0 for shared, union in counts], pa.bool_())
             yield pa.RecordBatch.from_arrays([part.column(i).filter(good) for i in (0, 1)], ["a", "b"])
 
-    sides = [pairs.select(F.col(f"{p}e").alias("e"), F.col(f"{p}doc").alias("doc"), F.col(f"{p}start").alias("start"), F.col(f"{p}end").alias("end")) for p in ("", "p")]
-    wanted = sides[0].unionAll(sides[1]).groupBy("e").agg(F.min(F.struct("doc", "start", "end")).alias("w")).select("e", "w.*")
-    texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("binary").alias("text")).join(wanted, "doc").select("e", F.substring("text", F.col("start") + 1, F.col("end") - F.col("start")).alias("t"))
-    texts = materialize(texts, "paragraph-texts")
-    side = lambda c: texts.select(F.col("e").alias(c), F.col("t").alias(f"t{c}"))
-    named = pairs.select(F.col("e").alias("a"), F.col("pe").alias("b"))
+    sides = [pairs.select(*[F.col(f"{p}{c}").alias(c) for c in OWN[:4]]) for p in ("", "p")]
+    wanted = sides[0].unionAll(sides[1]).groupBy("e").agg(F.min(F.struct(*OWN[1:4])).alias("w")).select("e", "w.*")
+    cut = materialize(texts.join(wanted, "doc").select("e", F.substring("text", F.col("start") + 1, F.col("end") - F.col("start")).alias("t")), "paragraph-lines")
+    side = lambda c: cut.select(F.col("e").alias(c), F.col("t").alias(f"t{c}"))
+    named = pairs.select(F.col("e").alias("a"), F.col("pe").alias("b")).distinct()
     return named.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long").distinct()
 
 
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Repeats of one document and one first document, joined where they touch: where the joined one starts and ends in both."""
+    names = ["doc", "fdoc", "start", "end", "wa", "wb", "fstart", "fend"]
+    for batch in batches:
+        out: list[list[int]] = []
+        for doc, fdoc, spans in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            at = len(out)
+            for s in spans:
+                if len(out) > at and s["wa"] <= out[-1][5]:
+                    if s["wb"] > out[-1][5]:
+                        out[-1][3], out[-1][5], out[-1][7] = s["end"], s["wb"], s["fend"]
+                else:
+                    out.append([doc, fdoc, s["start"], s["end"], s["wa"], s["wb"], s["fstart"], s["fend"]])
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.int64() if i < 2 else pa.int32()) for i in range(8)], names)
+
+
+def equal_left(x: bytes, y: bytes) -> tuple[int, int]:
+    """(words, bytes) by which two contexts agree backwards from their ends; a first word that may be cut is not used."""
+    a, b = (list(_WORD.finditer(t.translate(_LOWER)))[1 if len(t) >= CONTEXT else 0 :] for t in (x, y))
+    n = 0
+    while n < min(len(a), len(b)) and a[-1 - n][0] == b[-1 - n][0]:
+        n += 1
+    return n, len(x) - a[-n].start() if n else 0
+
+
+def equal_right(x: bytes, y: bytes) -> tuple[int, int]:
+    """(words, bytes) by which two contexts agree forwards; a last word that may be cut is not used."""
+    a, b = (list(_WORD.finditer(t.translate(_LOWER)))[: -1 if len(t) >= CONTEXT else None] for t in (x, y))
+    n = 0
+    while n < min(len(a), len(b)) and a[n][0] == b[n][0]:
+        n += 1
+    return n, a[n - 1].end() if n else 0
+
+
+def _extended(joined: DataFrame, texts: DataFrame) -> DataFrame:
+    """Joined repeats (doc, start, end, wa, wb, fdoc), extended as far as they equal what is kept."""
+    around = lambda s, e: (F.substring("text", F.greatest(F.col(s) + 1 - CONTEXT, F.lit(1)), F.least(F.col(s), F.lit(CONTEXT))), F.substring("text", F.col(e) + 1, CONTEXT))
+    left, right = around("start", "end")
+    own = joined.join(texts, "doc").withColumn("left", left).withColumn("right", right).drop("text")
+    left, right = around("fstart", "fend")
+    both = own.join(texts.withColumnRenamed("doc", "fdoc"), "fdoc").withColumn("fleft", left).withColumn("fright", right)
+    both = both.select("doc", "start", "end", "wa", "wb", "fdoc", "left", "fleft", "right", "fright")
+    schema = pa.schema([("doc", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("wa", pa.int32()), ("wb", pa.int32()), ("fdoc", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for doc, start, end, wa, wb, fdoc, left, fleft, right, fright in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                (more, before), (yet, after) = ((0, 0), (0, 0)) if doc == fdoc else (equal_left(left, fleft), equal_right(right, fright))
+                out.append((doc, start - before, end + after, wa - more, wb + yet, fdoc))
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], f.type) for i, f in enumerate(schema)], schema.names)
+
+    return both.mapInArrow(run, "doc long, start int, end int, wa int, wb int, fdoc long")
+
+
+def _merged(extended: DataFrame, min_words: int) -> DataFrame:
+    """Ranges of one document that touch as one (doc_id, start, end, first_doc_id), of at least min_words words."""
+    schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("first_doc_id", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple] = []
+            for doc, spans in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                start, end, wa, wb, first = spans[0].values()
+                for s in [*spans[1:], None]:
+                    if s and s["wa"] <= wb:
+                        end, wb, first = max(end, s["end"]), max(wb, s["wb"]), min(first, s["fdoc"])
+                    else:
+                        if wb - wa >= min_words:
+                            out.append((doc, start, end, first))
+                        if s:
+                            start, end, wa, wb, first = s.values()
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], f.type) for i, f in enumerate(schema)], schema.names)
+
+    grouped = extended.groupBy("doc").agg(F.array_sort(F.collect_set(F.struct("start", "end", "wa", "wb", "fdoc"))).alias("spans"))
+    return grouped.mapInArrow(run, "doc_id long, start int, end int, first_doc_id long")
+
+
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, percent: int = PERCENT) -> DataFrame:
-    """Rows (doc_id, start, end, first_doc_id): merged byte ranges of texts that repeat a passage kept in first_doc_id.
+    """Rows (doc_id, start, end, first_doc_id): byte ranges of texts that repeat a passage kept in first_doc_id.
 
     Words differ by more than the case of A-Z.  The first occurrence of a component, by id and place, is never
-    listed, nor is a range that overlaps it in the same document.  Null and empty texts and texts of fewer than
+    listed, nor is a passage that overlaps it in the same document.  Null and empty texts and texts of fewer than
     `min_words` words have no passage; rows with a null id are left alone; rows that share an id count as one
-    document.  Where ranges of one document touch, they are one row with the least first_doc_id.
+    document, of which any row's text serves.  Ranges of one document that touch are one row with the least
+    first_doc_id, and a row has at least `min_words` words.
     """
     listed = materialize(_listed(docs, id_col, text_col, min_words), "paragraphs")
     keys = F.explode(F.when(F.col("bands").isNull(), F.array("e")).otherwise(F.concat(F.array("e"), "bands")))
-    keyed = listed.filter("fresh").select(keys.alias("key"), "e", "doc", "start", "end")
+    keyed = listed.filter("fresh").select(keys.alias("key"), *OWN)
     group = Window.partitionBy("key").orderBy("doc", "start", "end", "e")
-    place = F.struct("e", "doc", "start", "end")
+    place = F.struct(*OWN)
     met = keyed.withColumn("p", F.first(place).over(group.rowsBetween(Window.unboundedPreceding, 0))).withColumn("q", F.lag(place).over(group)).filter("q is not null")
-    met = met.withColumn("other", F.explode(F.when(F.col("p") == F.col("q"), F.array("p")).otherwise(F.array("p", "q")))).select("e", "doc", "start", "end", *[F.col(f"other.{c}").alias(f"p{c}") for c in ("e", "doc", "start", "end")])
-    met = materialize(met.distinct(), "paragraph-pairs")
-    equal, near = met.filter("e = pe"), met.filter("e <> pe")
-    links = materialize(_verified(near, docs, id_col, text_col, percent), "paragraph-links")
+    other = F.explode(F.when((F.col("p") == F.col("q")) | (F.col("p.e") == F.col("e")), F.array("p")).otherwise(F.array("p", "q")))
+    met = materialize(met.withColumn("other", other).select(*OWN, *[F.col(f"other.{c}").alias(f"p{c}") for c in OWN]), "paragraph-pairs")
+    equal, near = met.filter("e = pe"), met.filter("e <> pe").distinct()
+    involved = met.select("doc").unionAll(met.select(F.col("pdoc").alias("doc"))).unionAll(listed.filter("repeated").select("doc")).distinct()
+    # the only time that whole texts are shuffled
+    rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("binary").alias("text"))
+    texts = materialize(rows.join(involved, "doc", "left_semi"), "paragraph-texts")
+    links = materialize(_confirmed(near, texts, percent), "paragraph-links")
     components = materialize(connected_components(links), "paragraph-components")
-    own = ["e", "doc", "start", "end"]
-    other = [F.col(f"p{c}").alias(c) for c in own]
     linked = near.join(links, (F.col("e") == F.col("a")) & (F.col("pe") == F.col("b")), "left_semi")
-    found = [equal.select(*own), equal.select(*other), linked.select(*own), linked.select(*other), listed.filter("repeated").select(*own)]
+    firsts_of = [F.col(f"p{c}").alias(c) for c in OWN]
+    found = [equal.select(*OWN), equal.select(*firsts_of), linked.select(*OWN), linked.select(*firsts_of), listed.filter("repeated").select(*OWN)]
     occurrences = found[0].unionAll(found[1]).unionAll(found[2]).unionAll(found[3]).unionAll(found[4]).distinct()
-    placed = materialize(occurrences.join(components, F.col("e") == F.col("node"), "left").select(F.coalesce("component", "e").alias("c"), "doc", "start", "end"), "paragraph-occurrences")
+    placed = materialize(occurrences.join(components, F.col("e") == F.col("node"), "left").select(F.coalesce("component", "e").alias("c"), *OWN[1:]), "paragraph-occurrences")
     firsts = placed.groupBy("c").agg(F.min(F.struct("doc", "start", "end")).alias("f")).select("c", F.col("f.doc").alias("fdoc"), F.col("f.start").alias("fstart"), F.col("f.end").alias("fend"))
-    extra = placed.join(firsts, "c").filter("doc <> fdoc or start >= fend").select("doc", "start", "end", "fdoc")
-
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out: list[list[int]] = []
-            for doc, spans in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                at = len(out)
-                for s in spans:
-                    if len(out) > at and s["start"] <= out[-1][2] + 1:
-                        out[-1][2] = max(out[-1][2], s["end"])
-                        out[-1][3] = min(out[-1][3], s["fdoc"])
-                    else:
-                        out.append([doc, s["start"], s["end"], s["fdoc"]])
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int64(), pa.int32(), pa.int32(), pa.int64()))], ["doc_id", "start", "end", "first_doc_id"])
-
-    spans = extra.groupBy("doc").agg(F.array_sort(F.collect_set(F.struct("start", "end", "fdoc"))).alias("spans"))
-    return spans.mapInArrow(merge, "doc_id long, start int, end int, first_doc_id long")
+    extra = placed.join(firsts, "c").filter("doc <> fdoc or start >= fend")
+    spans = extra.groupBy("doc", "fdoc").agg(F.array_sort(F.collect_set(F.struct("wa", "wb", "start", "end", "fstart", "fend"))).alias("spans"))
+    joined = spans.mapInArrow(_joined, "doc long, fdoc long, start int, end int, wa int, wb int, fstart int, fend int")
+    return _merged(_extended(materialize(joined, "paragraph-joined"), texts), min_words)
 
 
 def remove_passages(docs: DataFrame, repeats: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -54,6 +54,13 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     return hashes, offsets, start - shift, end - shift
 
 
+def range_hashes(words: np.ndarray, at: np.ndarray, to: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the word sequences at:to."""
+    summed = np.zeros(len(words) + 1, _U)
+    np.cumsum(mix(words + _U(0x632BE59BD9B4E019)) * _power(_BASE, len(words)), out=summed[1:])
+    return mix((summed[to] - summed[at]) * _power(_INVERSE, len(words) + 1)[at] + (to - at).astype(_U))
+
+
 def shingle_hashes(words: np.ndarray, k: int) -> np.ndarray:
     """Sorted distinct hashes of the k-word shingles of one text; fewer words are one shingle, none are none."""
     n = len(words)

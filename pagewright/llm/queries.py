@@ -13,6 +13,7 @@ from .paragraph_dedup import repeated_passages
 from .piece_codec import decode_pieces, encode_pieces
 from .sharding import shuffle_into_shards
 from .source_mixing import mix_sources
+from .suffix_tree import score_texts
 from .token_counts import count_tokens
 from .toxicity import fit_toxicity, fold, score_toxicity
 
@@ -53,6 +54,13 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold() == 0).alias("held_out"), F.col("toxicity").alias("score"), (F.col("toxicity") >= 0.5).cast("int").alias("predicted"))
 
 
+def op6_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suffix-tree and unigram scores of all texts; fold 1 is held out of the training."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    found = score_texts(docs, docs.filter(fold() != 1))
+    return found.select("doc_id", (fold() == 1).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op7_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every whole text and of its edited text, whose last quarter comes from the next document."""
     docs = documents(spark, sf_dir).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
@@ -83,7 +91,7 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_sharding, op2_embedding_dedup, op3_piece_codec, op4_minhash_dedup, op5_toxicity, op7_imatch, op8_paragraph_dedup, op9_token_counts, op10_source_mixing)}
+    return {f.__name__: f for f in (op1_sharding, op2_embedding_dedup, op3_piece_codec, op4_minhash_dedup, op5_toxicity, op6_suffix_tree, op7_imatch, op8_paragraph_dedup, op9_token_counts, op10_source_mixing)}
 
 
 def oracle_sql() -> dict[str, str]:

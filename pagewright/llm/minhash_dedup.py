@@ -87,8 +87,8 @@ def likely(pairs: DataFrame, classes: DataFrame, similarity: float) -> DataFrame
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
-    """Pairs (a, b) with 100 * intersection >= percent * union of their full shingle sets."""
+def confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """Pairs (a, b) with 100 * intersection >= percent * union of the full shingle sets of texts (class_id, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, np.ndarray] = {}
@@ -105,22 +105,18 @@ def confirmed(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, k:
             held = {b[-1]: sets[b[-1]]}
             yield pa.RecordBatch.from_arrays([part.column(i).filter(pa.array(good)) for i in (0, 1)], ["a", "b"])
 
-    wanted = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct()
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
-    texts = materialize(rows.join(wanted, "id", "left_semi"), "minhash-texts")
-    side = lambda c: texts.select(F.col("id").alias(c), F.col("text").alias(f"t{c}"))
+    side = lambda c: texts.select(F.col("class_id").alias(c), F.col("text").alias(f"t{c}"))
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
-def across_components(open_: DataFrame, docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
+def across_components(open_: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """Candidate pairs (a, b), a > b, between the components of open_ (class_id, component).
 
     Exact: shingles have one order for all classes, from rare to common, and two sets of the wanted similarity
     share one among the first n - ceil(percent % of n) + 1 of each.  At the first shared one, what is left of
     either set bounds their intersection, and a pair is made only if that bound allows the similarity.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("class_id"), F.col(text_col).cast("binary").alias("text"))
-    texts = materialize(rows.join(open_, "class_id"), "minhash-open-texts")
+    texts = materialize(texts.join(open_, "class_id"), "minhash-open-texts")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
         for part in slices(batches, "text", 2 << 20):
@@ -174,11 +170,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     banded = classes.select("class_id", band.alias("band"))
     shared = banded.groupBy("band").agg(F.min("class_id").alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
     members = materialize(banded.join(shared, "band"), "minhash-members")
-    similarity = percent / 100
+    rows = docs.select(F.col(id_col).cast("long").alias("class_id"), F.col(text_col).cast("binary").alias("text"))
+    # the only time that whole texts are shuffled
+    texts = materialize(rows.join(members.select("class_id").distinct(), "class_id", "left_semi"), "minhash-texts")
 
     def test(pairs: DataFrame) -> DataFrame:
-        survivors = materialize(likely(pairs, classes, similarity), "minhash-likely")
-        return materialize(confirmed(survivors, docs, id_col, text_col, k, percent), "minhash-links")
+        survivors = materialize(likely(pairs, classes, percent / 100), "minhash-likely")
+        return materialize(confirmed(survivors, texts, k, percent), "minhash-links")
 
     tested = materialize(members.filter("class_id <> least").select(F.col("class_id").alias("a"), F.col("least").alias("b")).distinct(), "minhash-pairs")
     links = test(tested)
@@ -186,7 +184,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     placed = members.join(components, F.col("class_id") == F.col("node"), "left").select("band", "class_id", F.coalesce("component", "class_id").alias("component"))
     split = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("band")
     open_ = materialize(placed.join(split, "band", "left_semi").select("class_id", "component").distinct(), "minhash-open")
-    across = across_components(open_, docs, id_col, text_col, k, percent)
+    across = across_components(open_, texts, k, percent)
     more = test(materialize(across.join(tested, ["a", "b"], "left_anti"), "minhash-pairs"))
     components = connected_components(links.unionAll(more))
     found = classes.select("same", "class_id").join(components, F.col("class_id") == F.col("node"), "left").select("same", F.coalesce("component", "class_id").alias("component"))

@@ -58,7 +58,7 @@ def _end_pages(sections: DataFrame, levels: int) -> DataFrame:
     later = Window.partitionBy("doc_id").orderBy("order").rowsBetween(1, Window.unboundedFollowing)
     following = [F.min(F.when(F.col("level") <= n, F.struct("order", "start_page"))).over(later)["start_page"] for n in range(1, levels + 1)]
     nearest = F.element_at(F.array(*following), F.least(F.col("level"), F.lit(levels)))
-    return sections.withColumn("end_page", F.coalesce(F.greatest(F.col("start_page"), nearest - 1), F.col("page_count")))
+    return sections.withColumn("end_page", F.when(nearest.isNull(), F.col("page_count")).otherwise(F.greatest(F.col("start_page"), nearest - 1)))
 
 
 def outline_sections(outline: DataFrame, documents: DataFrame) -> DataFrame:

@@ -40,7 +40,7 @@ KINDS = f"""kinds AS (SELECT o.*, CASE WHEN (ord - 1) % 5 = 0 THEN 'part' WHEN (
       WHEN 'appendices' THEN 'appendices' ELSE 'section_' || printf('%03d', l.nth) || '_' || {slug('l.title')} END AS section_id FROM leveled l JOIN titled t USING (doc_id))"""
 TREE = """fronts AS (SELECT doc_id, 0 AS ord, 'Front Matter Before PDF Outline' AS title, 'front_matter' AS kind, CAST(1 AS INTEGER) AS level, CAST(0 AS INTEGER) AS outline_level, CAST(1 AS INTEGER) AS start_page, page_count, root_title, 'front_matter_pre_outline' AS section_id, true AS front FROM named WHERE ord = 1 AND start_page > 1),
   nodes AS (SELECT *, false AS front FROM named UNION ALL SELECT * FROM fronts),
-  tree AS (SELECT n.*, coalesce((SELECT greatest(n.start_page, arg_min(b.start_page, b.ord) - 1) FROM nodes b WHERE b.doc_id = n.doc_id AND b.ord > n.ord AND b.level <= n.level), n.page_count) AS end_page,
+  tree AS (SELECT n.*, coalesce((SELECT CASE WHEN count(*) > 0 THEN greatest(n.start_page, arg_min(b.start_page, b.ord) - 1) END FROM nodes b WHERE b.doc_id = n.doc_id AND b.ord > n.ord AND b.level <= n.level), n.page_count) AS end_page,
     (SELECT arg_max(struct_pack(i := b.section_id, t := b.title), b.ord) FROM nodes b WHERE b.doc_id = n.doc_id AND b.ord < n.ord AND b.level < n.level AND NOT b.front) AS up FROM nodes n),
   sections AS (SELECT doc_id, section_id, title, level, CASE WHEN up IS NULL THEN 'document' ELSE up.i END AS parent_id, CASE WHEN up IS NULL THEN root_title ELSE up.t END AS parent_title, start_page, CAST(end_page AS INTEGER) AS end_page, CASE WHEN front THEN 'synthetic_pre_outline' ELSE 'pdf_outline' END AS source,
       CAST(CASE WHEN front THEN 1 WHEN outline_level = level THEN 0.98 ELSE 0.9 END AS DOUBLE) AS confidence, outline_level, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY ord) AS INTEGER) AS "order", kind FROM tree

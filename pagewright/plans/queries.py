@@ -191,7 +191,7 @@ def outline_sections(spark: SparkSession, d: str) -> DataFrame:
     return sections.outline_sections(a.outline(spark, d), a.titled(spark, d))
 
 
-@query(with_(LINES, OUTLINE, HEADINGS, "h AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY ord) AS o FROM headings WHERE title <> '')", select='SELECT h.doc_id, CAST(o AS INTEGER) AS "order", h.title, h.level, greatest(1, least(page, page_count)) AS start_page, CAST(coalesce((SELECT greatest(greatest(1, least(h.page, t.page_count)), arg_min(greatest(1, least(b.page, t.page_count)), b.o) - 1) FROM h b WHERE b.doc_id = h.doc_id AND b.o > h.o AND b.level <= h.level), page_count) AS INTEGER) AS end_page, coalesce((SELECT arg_max(b.title, b.o) FROM h b WHERE b.doc_id = h.doc_id AND b.o < h.o AND b.level < h.level), t.title) AS parent_title FROM h JOIN titled t USING (doc_id)'))
+@query(with_(LINES, OUTLINE, HEADINGS, "h AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY ord) AS o FROM headings WHERE title <> '')", select='SELECT h.doc_id, CAST(o AS INTEGER) AS "order", h.title, h.level, greatest(1, least(page, page_count)) AS start_page, CAST(coalesce((SELECT CASE WHEN count(*) > 0 THEN greatest(greatest(1, least(h.page, t.page_count)), arg_min(greatest(1, least(b.page, t.page_count)), b.o) - 1) END FROM h b WHERE b.doc_id = h.doc_id AND b.o > h.o AND b.level <= h.level), page_count) AS INTEGER) AS end_page, coalesce((SELECT arg_max(b.title, b.o) FROM h b WHERE b.doc_id = h.doc_id AND b.o < h.o AND b.level < h.level), t.title) AS parent_title FROM h JOIN titled t USING (doc_id)'))
 def heading_sections(spark: SparkSession, d: str) -> DataFrame:
     found = sections.heading_sections(a.headings(spark, d), a.titled(spark, d))
     return found.filter("source = 'docling_heading'").select("doc_id", "order", "title", "level", "start_page", "end_page", "parent_title")

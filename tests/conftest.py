@@ -1,0 +1,24 @@
+from __future__ import annotations
+
+import os
+import sys
+
+import pytest
+from pyspark.sql import SparkSession
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from pagewright.workers import reachable
+
+    session = (
+        SparkSession.builder.master("local[4]").appName("tests").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "4g").getOrCreate()
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield reachable(session)
+    session.stop()

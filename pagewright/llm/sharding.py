@@ -22,9 +22,9 @@ from .common import partitions_for
 BUCKET_BYTES, LEAST_BUCKETS = 16 << 20, 256
 
 
-def _scatter(id_col: str, seed: int) -> Column:
-    """The seeded hash that scatters; rows without an id are spread by their place in the input."""
-    return F.when(F.col(id_col).isNotNull(), F.xxhash64(F.lit(seed), F.col(id_col))).otherwise(F.xxhash64(F.lit(seed + 1), F.monotonically_increasing_id()))
+def _scatter(id_col: str, text_col: str, seed: int) -> Column:
+    """The seeded hash that scatters: of the id, or of the text where there is none."""
+    return F.when(F.col(id_col).isNotNull(), F.xxhash64(F.lit(seed), F.col(id_col))).otherwise(F.xxhash64(F.lit(seed + 1), F.col(text_col)))
 
 
 def shuffle_into_shards(docs: DataFrame, n_shards: int, id_col: str = "doc_id", text_col: str = "text", seed: int = 17, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
@@ -32,17 +32,17 @@ def shuffle_into_shards(docs: DataFrame, n_shards: int, id_col: str = "doc_id",
 
     Shards' row counts are at most one apart.  The order depends on seed, ids and the number of buckets only,
     not on partitioning.  Null texts are kept; rows with equal ids fall into one bucket and are ordered by text;
-    rows with a null id are scattered by position.  An empty table gives an empty result.  Input columns named
-    shard or slot are replaced.  Text moves through one shuffle; bucket sizes come from a scan of ids alone.
+    rows with a null id are scattered by their text.  An empty table gives an empty result.  Input columns named
+    shard or slot are replaced.  Text moves through one shuffle; bucket sizes come from a scan before it.
     """
     docs = docs.drop("shard", "slot")
     total = docs.agg(F.sum(F.octet_length(text_col)).alias("b")).first()["b"] or 0
     n_buckets = partitions_for(total, bucket_bytes, LEAST_BUCKETS)
-    bucket = F.pmod(_scatter(id_col, seed), F.lit(n_buckets)).cast("int")
+    bucket = F.pmod(_scatter(id_col, text_col, seed), F.lit(n_buckets)).cast("int")
     counts = docs.select(bucket.alias("__bucket")).groupBy("__bucket").count()
     before = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("__bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__offset"), F.sum("count").over(Window.partitionBy()).alias("__total"))
-    rows = docs.withColumn("__hash", _scatter(id_col, seed)).withColumn("__bucket", F.pmod("__hash", F.lit(n_buckets)).cast("int")).join(offsets, "__bucket")
+    rows = docs.withColumn("__hash", _scatter(id_col, text_col, seed)).withColumn("__bucket", F.pmod("__hash", F.lit(n_buckets)).cast("int")).join(offsets, "__bucket")
     keep = docs.columns
 
     def shuffle(table: pa.Table) -> pa.Table:

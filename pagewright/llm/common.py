@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import math
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -13,7 +15,7 @@ from pyspark.sql import functions as F
 
 #: Words are maximal runs of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -59,6 +61,22 @@ def crc32_of(column: Column | str) -> Column:
     return F.crc32(F.encode(column, "UTF-8"))
 
 
+def released(run: Callable) -> Callable:
+    """A batch function that gives its memory back to the system when it ends, as idle workers are kept for later stages."""
+
+    @functools.wraps(run)
+    def whole(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return whole
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that each slice holds about `limit` bytes of one string column.
 

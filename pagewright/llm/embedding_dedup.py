@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, released
 from .components import connected_components
 
 #: Recall wanted for pairs right at the threshold, the most tables, and rows of a bucket that meet in one block.
@@ -108,6 +108,7 @@ def near_duplicate_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_co
     themselves.  Equal vectors are one class, compared once and counted by its rows.  Other columns are not read.
     """
 
+    @released
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys: list[bytes | None] = []
@@ -127,6 +128,7 @@ def near_duplicate_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_co
         x = x / np.abs(x).max(axis=1, keepdims=True)
         return x / np.linalg.norm(x, axis=1, keepdims=True)
 
+    @released
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy()

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, slices
+from .common import materialize, released, slices
 from .components import connected_components
 from .shingles import jaccard_counts, minhash, shingle_hashes, word_hashes
 
@@ -49,8 +49,9 @@ def least_matches(n: int, similarity: float, miss: float = MISS) -> int:
 def signatures(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
     """(doc_id, same, n_shingles, signature): same identifies the word sequence and is null without words."""
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text", 2 << 20):
+        for part in slices(batches, "text"):
             texts = [t or b"" for t in part.column(1).to_pylist()]
             words, offsets, _, _ = word_hashes(texts)
             same, count, signed = [], [], []
@@ -72,6 +73,7 @@ def likely(pairs: DataFrame, classes: DataFrame, similarity: float) -> DataFrame
     ends = list(range(BANDS, n + 1, BANDS))
     floors = [least_matches(e, similarity) for e in ends]
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
@@ -90,6 +92,7 @@ def likely(pairs: DataFrame, classes: DataFrame, similarity: float) -> DataFrame
 def confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """Pairs (a, b) with 100 * intersection >= percent * union of the full shingle sets of texts (class_id, text)."""
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, np.ndarray] = {}
         for part in slices(batches, "ta", 1 << 20):
@@ -119,10 +122,11 @@ def across_components(open_: DataFrame, texts: DataFrame, k: int, percent: int)
     texts = materialize(texts.join(open_, "class_id"), "minhash-open-texts")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
-        for part in slices(batches, "text", 2 << 20):
+        for part in slices(batches, "text"):
             words, offsets, _, _ = word_hashes([t or b"" for t in part.column(1).to_pylist()])
             yield part, [shingle_hashes(words[x:y], k) for x, y in zip(offsets[:-1], offsets[1:], strict=True)]
 
+    @released
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(CELLS, np.int64)
         for _, found in sets(batches):
@@ -134,6 +138,7 @@ def across_components(open_: DataFrame, texts: DataFrame, k: int, percent: int)
     common = np.zeros(CELLS, np.int64)
     common[counted["cell"].to_numpy()] = counted["n"].to_numpy()
 
+    @released
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, found in sets(batches):
             owner, shingle, place, size = [], [], [], []

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import materialize, slices
+from .common import materialize, released, slices
 from .components import connected_components
 from .shingles import jaccard_counts, minhash, range_hashes, shingle_hashes, word_hashes, mix
 
@@ -79,8 +79,9 @@ def passages(texts: list[bytes], min_words: int = MIN_WORDS, run: int = RUN) ->
 def _listed(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
     """Every passage: doc, bytes start to end, words wa to wb, content hash e, band hashes of lines, whether the slice holds an equal one (repeated), and whether it is the slice's first of its content (fresh)."""
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text", 4 << 20):
+        for part in slices(batches, "text"):
             owner, at, to, is_line, hashes, offsets, starts, ends = passages([t or b"" for t in part.column(1).to_pylist()], min_words)
             if not len(owner):
                 continue
@@ -107,6 +108,7 @@ def _listed(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> Data
 def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Classes (a, b) of near pairs whose shingle sets have 100 * intersection >= percent * union."""
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "ta", 1 << 20):
             sets = []
@@ -169,6 +171,7 @@ def _extended(joined: DataFrame, texts: DataFrame) -> DataFrame:
     both = both.select("doc", "start", "end", "wa", "wb", "fdoc", "left", "fleft", "right", "fright")
     schema = pa.schema([("doc", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("wa", pa.int32()), ("wb", pa.int32()), ("fdoc", pa.int64())])
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
@@ -184,6 +187,7 @@ def _merged(extended: DataFrame, min_words: int) -> DataFrame:
     """Ranges of one document that touch as one (doc_id, start, end, first_doc_id), of at least min_words words."""
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("first_doc_id", pa.int64())])
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
@@ -233,6 +237,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     occurrences = found[0].unionAll(found[1]).unionAll(found[2]).unionAll(found[3]).unionAll(found[4]).distinct()
     placed = materialize(occurrences.join(components, F.col("e") == F.col("node"), "left").select(F.coalesce("component", "e").alias("c"), *OWN[1:]), "paragraph-occurrences")
     firsts = placed.groupBy("c").agg(F.min(F.struct("doc", "start", "end")).alias("f")).select("c", F.col("f.doc").alias("fdoc"), F.col("f.start").alias("fstart"), F.col("f.end").alias("fend"))
+    firsts = materialize(firsts, "paragraph-firsts")  # written first, so that the join stands alone and a component of any size can be split
     extra = placed.join(firsts, "c").filter("doc <> fdoc or start >= fend")
     spans = extra.groupBy("doc", "fdoc").agg(F.array_sort(F.collect_set(F.struct("wa", "wb", "start", "end", "fstart", "fend"))).alias("spans"))
     joined = spans.mapInArrow(_joined, "doc long, fdoc long, start int, end int, wa int, wb int, fstart int, fend int")

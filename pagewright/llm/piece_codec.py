@@ -15,12 +15,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import released, slices
 from .token_counts import MARK, MODEL, crosses_marks, processor
 
 #: A chunk starts at a run of markers or at a line feed.
 CHUNK = re.compile(f"\n[^ \n{MARK}]*|[ {MARK}]+[^ \n{MARK}]*")
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def chunk_ids(chunks: list[str], sp) -> list[list[int]]:
@@ -56,6 +56,7 @@ def encode_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     need no rule; other columns are not read.  A model with pieces that cross markers is encoded text by text.
     """
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sp = processor(model)
         whole = crosses_marks(model)
@@ -76,6 +77,7 @@ def decode_pieces(encoded: DataFrame, ids_col: str = "ids", out_col: str = "deco
     """Adds the library's decode(ids) as a string column to all columns of `encoded`; null ids decode to an empty text."""
     columns = [c for c in encoded.columns if c != out_col]
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sp = processor(model)
         for batch in batches:

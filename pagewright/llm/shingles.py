@@ -22,11 +22,11 @@ def _power(base: int, n: int) -> np.ndarray:
     """base ** (0 .. n-1) modulo 2**64."""
     found = _powers.get(base)
     if found is None or len(found) < n:
-        size = max(n, 1 << 20)
+        size = max(n, 1 << 21)
         found = np.full(size, base, _U)
         found[0] = 1
         np.multiply.accumulate(found, out=found)
-        if size <= 1 << 24:
+        if size <= 1 << 21:
             _powers[base] = found
     return found[:n]
 

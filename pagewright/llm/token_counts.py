@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SLICE_BYTES, slices
+from .common import SLICE_BYTES, released, slices
 
 MODEL = "piece_bpe_32k.model"
 #: Texts above this many characters are cut, and batches hold about so many bytes.
@@ -73,6 +73,7 @@ def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ids and empty tables need no rule; columns other than the two named are not read.  No shuffle.
     """
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sp = processor(model)
         cut = (lambda t: [t]) if crosses_marks(model) else safe_pieces

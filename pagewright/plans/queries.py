@@ -218,7 +218,14 @@ def element_counts(spark: SparkSession, d: str) -> DataFrame:
     return sections.element_counts(sections.attach_sections(a.elements(spark, d), tree))
 
 
-@query(with_(LINES, OUTLINE, KINDS, TREE, "lastof AS (SELECT doc_id, section_id, arg_max(struct_pack(t := title, p := parent_id), \"order\") AS s FROM sections GROUP BY 1, 2)", "walk AS (SELECT doc_id, section_id, s.p AS up, trim(s.t) AS path, [section_id] AS seen FROM lastof UNION ALL SELECT w.doc_id, w.section_id, l.s.p, trim(l.s.t) || ' > ' || w.path, list_append(seen, l.section_id) FROM walk w JOIN lastof l ON l.doc_id = w.doc_id AND l.section_id = w.up WHERE NOT list_contains(seen, l.section_id))", select="SELECT doc_id, section_id, arg_max(path, len(seen)) AS hierarchy FROM walk GROUP BY 1, 2", recursive=True))
+WALK = (
+    "lastof AS (SELECT doc_id, section_id, arg_max(struct_pack(t := title, p := parent_id), \"order\") AS s FROM sections GROUP BY 1, 2)",
+    "walk AS (SELECT doc_id, section_id, s.p AS up, trim(s.t) AS path, [section_id] AS seen FROM lastof UNION ALL SELECT w.doc_id, w.section_id, l.s.p, trim(l.s.t) || ' > ' || w.path, list_append(seen, l.section_id) FROM walk w JOIN lastof l ON l.doc_id = w.doc_id AND l.section_id = w.up WHERE NOT list_contains(seen, l.section_id))",
+    "crumbs AS (SELECT doc_id, section_id, arg_max(path, len(seen)) AS hierarchy FROM walk GROUP BY 1, 2)",
+)
+
+
+@query(with_(LINES, OUTLINE, KINDS, TREE, *WALK, select="SELECT * FROM crumbs", recursive=True))
 def breadcrumb(spark: SparkSession, d: str) -> DataFrame:
     return sections.breadcrumbs(sections.outline_sections(a.outline(spark, d), a.titled(spark, d)))
 
@@ -305,12 +312,11 @@ def chunk_tail(spark: SparkSession, d: str) -> DataFrame:
     return _chunks(spark, d).select("doc_id", "chunk_no", "prev_chunk_tail")
 
 
-@query(with_(LINES, OUTLINE, KINDS, TREE, ATTACHED, UNITS, PACK, "own AS (SELECT p.doc_id, p.chunk_no, arg_max(a.section_id, p.seq) AS section_id FROM pack p JOIN attached a ON a.doc_id = p.doc_id AND a.seq = p.seq GROUP BY 1, 2)", select="SELECT o.doc_id, o.chunk_no, o.section_id, CASE WHEN o.section_id = 'document' THEN t.title ELSE t.title || ' > ' || CASE WHEN s.parent_id = 'document' THEN '' ELSE trim(s.parent_title) || ' > ' END || trim(s.title) END AS hierarchy FROM own o JOIN titled t USING (doc_id) JOIN (SELECT doc_id, section_id, arg_max(parent_id, \"order\") AS parent_id, arg_max(parent_title, \"order\") AS parent_title, arg_max(title, \"order\") AS title FROM sections GROUP BY 1, 2) s ON s.doc_id = o.doc_id AND s.section_id = o.section_id WHERE s.parent_id IS DISTINCT FROM 'appendices'", recursive=True))
+@query(with_(LINES, OUTLINE, KINDS, TREE, *WALK, ATTACHED, UNITS, PACK, "own AS (SELECT p.doc_id, p.chunk_no, arg_max(a.section_id, p.seq) AS section_id FROM pack p JOIN attached a ON a.doc_id = p.doc_id AND a.seq = p.seq GROUP BY 1, 2)", select="SELECT doc_id, chunk_no, section_id, hierarchy FROM own JOIN crumbs USING (doc_id, section_id)", recursive=True))
 def chunk_sections(spark: SparkSession, d: str) -> DataFrame:
     tree = sections.outline_sections(a.outline(spark, d), a.titled(spark, d))
     found = chunk.chunks(sections.attach_sections(a.elements(spark, d), tree), 200, 30, sections.breadcrumbs(tree))
-    parents = tree.groupBy("doc_id", "section_id").agg(F.max_by("parent_id", "order").alias("p"))
-    return found.join(parents, ["doc_id", "section_id"]).filter("p is null or p <> 'appendices'").select("doc_id", "chunk_no", "section_id", "hierarchy")
+    return found.select("doc_id", "chunk_no", "section_id", "hierarchy")
 
 
 FLAT = """t AS (SELECT *, CASE WHEN type = 'table' THEN '#/tables/' ELSE '#/texts/' END || (seq - 1) AS name, lead(type) OVER (PARTITION BY doc_id ORDER BY seq) AS after, lag(type) OVER (PARTITION BY doc_id ORDER BY seq) AS before, lag(text) OVER (PARTITION BY doc_id ORDER BY seq) AS above FROM lines),
@@ -457,9 +463,9 @@ def document_summary(spark: SparkSession, d: str) -> DataFrame:
     return fonts.document_summary(_page_texts(spark, d), a.block_tables(spark, d)).withColumn("scanned_pages", joined("scanned_pages"))
 
 
-@query("SELECT doc_id, '[' || repeat('#', CAST(round_even(CAST(doc_id % 31 AS DOUBLE) / 30 * 28, 0) AS INTEGER)) || repeat('-', CAST(28 - round_even(CAST(doc_id % 31 AS DOUBLE) / 30 * 28, 0) AS INTEGER)) || '] ' || printf('%5.1f', CAST(doc_id % 31 AS DOUBLE) / 30 * 100) || '% (' || doc_id % 31 || '/30) Page complete' AS bar FROM documents WHERE doc_id % 31 IN (0, 3, 6, 9, 12, 15, 18, 21, 24, 27, 30)")
+@query("SELECT doc_id, '[' || repeat('#', CAST(round_even(CAST(doc_id % 31 AS DOUBLE) / 30 * 28, 0) AS INTEGER)) || repeat('-', CAST(28 - round_even(CAST(doc_id % 31 AS DOUBLE) / 30 * 28, 0) AS INTEGER)) || '] ' || printf('%5.1f', CAST(doc_id % 31 AS DOUBLE) / 30 * 100) || '% (' || doc_id % 31 || '/30) Page complete' AS bar FROM documents")
 def progress_bars(spark: SparkSession, d: str) -> DataFrame:
-    return a.documents(spark, d).filter("doc_id % 31 % 3 = 0").select("doc_id", text.progress_bar(F.col("doc_id") % 31, F.lit(30), F.lit("Page complete")).alias("bar"))
+    return a.documents(spark, d).select("doc_id", text.progress_bar(F.col("doc_id") % 31, F.lit(30), F.lit("Page complete")).alias("bar"))
 
 
 @query("SELECT doc_id, 'book.hybrid_vlm.p' || printf('%04d', doc_id * 37) || '-p' || printf('%04d', doc_id * 37 + 4) AS stem FROM documents")

@@ -8,9 +8,6 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-OUTLINE = "doc_id long, ord int, outline_level int, title string, page int"
-SIGNALS = "doc_id long, page_num int, char_count int, image_count int, image_coverage double, drawing_count int"
-
 
 def read_layouts(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Layout documents, one a file, as (doc_id, file, layout): the JSON text whole, the id a hash of the file's name."""
@@ -47,8 +44,8 @@ def joined_markdown(parts: DataFrame) -> DataFrame:
 def read_pdfs(spark: SparkSession, paths: str | list[str], plugin: Callable[[str, bytes], Iterator[dict]], schema: str) -> DataFrame:
     """Rows that a plug-in yields for every PDF: plugin(path, bytes) runs in the worker, once a file.
 
-    Page signals, outlines, layout JSON and page images all come this way; a plug-in holds its model in a module
-    global, so that a worker loads it once.
+    Page signals, outlines, layout JSON and page images all come this way (module `pdf`); a plug-in holds its model in
+    a module global, so that a worker loads it once.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -57,15 +54,3 @@ def read_pdfs(spark: SparkSession, paths: str | list[str], plugin: Callable[[str
                 yield pd.DataFrame(list(plugin(path, bytes(content))))
 
     return spark.read.format("binaryFile").load(paths).select("path", "content").mapInPandas(run, schema)
-
-
-def pymupdf_signals(path: str, content: bytes) -> Iterator[dict]:
-    """Page signals by PyMuPDF, where that is installed; the id is a hash of the path."""
-    import fitz
-    import xxhash
-
-    with fitz.open(stream=content, filetype="pdf") as pdf:
-        for number, page in enumerate(pdf, 1):
-            inner = [fitz.Rect(i["bbox"]) & page.rect for i in page.get_image_info() if i.get("bbox")]
-            area = sum(r.width * r.height for r in inner if not r.is_empty)
-            yield {"doc_id": xxhash.xxh64_intdigest(path) >> 1, "page_num": number, "char_count": len(page.get_text().strip()), "image_count": len(page.get_images()), "image_coverage": round(min(1.0, area / max(1.0, page.rect.width * page.rect.height)), 4), "drawing_count": len(page.get_drawings())}

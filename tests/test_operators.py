@@ -311,3 +311,53 @@ def test_streams(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert spark.sql("select message from issues").first().message == "Element e is missing page_num."
+
+
+def test_gateway():
+    import io
+    import urllib.error
+
+    from pagewright.sources.gateway import Gateway, from_environment
+
+    class Reply(io.BytesIO):
+        pass
+
+    asked = []
+
+    def opener(request, timeout):
+        asked.append((request.full_url, json.loads(request.data) if request.data else None))
+        if request.full_url.endswith("/models"):
+            return Reply(b'{"data":[{"id":"b"},{"id":""},{"id":"a"}]}')
+        if json.loads(request.data).get("stream"):
+            return Reply(b'data: {"choices":[{"delta":{"content":"He"}}]}\n: x\ndata: {bad\ndata: {"choices":[{"delta":{"content":"y"}}],"usage":{"completion_tokens":2}}\ndata: [DONE]\ndata: {"choices":[{"delta":{"content":"!"}}]}\n')
+        return Reply(GOOD.encode())
+
+    gate = Gateway("http://h:1/v1/v1/", "k", opener=opener)
+    assert gate.models() == ["a", "b"] and gate.require("a") and asked[0][0] == "http://h:1/v1/models"
+    with pytest.raises(vision.ProviderError, match="Available models: a, b"):
+        gate.require("c")
+    assert gate.chat({"messages": [1]})["summary"] == "Page." and asked[-1][1] == {"messages": [1]}
+    streamed = Gateway("http://h:1", "k", stream=True, opener=opener).chat({})
+    assert streamed["choices"][0]["message"]["content"] == "Hey" and streamed["usage"] == {"completion_tokens": 2}
+
+    def refused(request, timeout):
+        raise urllib.error.HTTPError(request.full_url, 401, "secret", {}, io.BytesIO(b"secret body"))
+
+    with pytest.raises(vision.ProviderError) as e:
+        Gateway("http://h", "k", opener=refused).chat({})
+    assert "authentication failed" in str(e.value) and "secret" not in str(e.value)
+    with pytest.raises(vision.ProviderError, match="requires"):
+        from_environment({})
+    assert from_environment({"OPENAI_BASE_URL": "http://x", "VLM_LOCAL_API_KEY": "k"}).url == "http://x/v1"
+
+
+def test_manifest_and_reports(spark):
+    pages = spark.createDataFrame([(1, 1, 400, 0, 0.0, 0), (1, 2, 0, 0, 0.0, 250)], SIGNALS)
+    routed = route.route_vlm(pages)
+    row = verify.manifest(route.plan_summary(routed), verify.plan_only_decisions(routed)).first()
+    assert [d.decision for d in row.decisions] == ["not_run_plan_only"] * 2 and row.vlm_pages == [2]
+    report = verify.run_report(verify.plan_only_decisions(routed), spark.createDataFrame([(1, 2)], "doc_id long, page_count int")).first()
+    assert not report.passed
+    done = spark.createDataFrame([(1, True, 1.005, 3, 1), (1, False, 2.0, 4, 0)], "doc_id long, passed boolean, seconds double, text_element_count int, table_count int")
+    assert verify.conversion_report(done, plan_only=True).first().warnings == ["One or more hybrid range conversions did not pass Phase 1A checks.", "Plan-only mode did not run Docling conversions."]
+    assert sections.outline_gaps(spark.createDataFrame([(1, "A b"), (1, "C")], "doc_id long, title string"), spark.createDataFrame([(1, "a  B")], "doc_id long, title string")).first().slug == "c"

@@ -1,12 +1,14 @@
 """Token-budgeted chunks of elements, with page provenance, breadcrumbs and an overlap tail.
 
 Packing is a fold over a document's elements in reading order: whether a chunk closes depends on all before it,
-so no window sum expresses it.  Only (doc_id, seq, tokens) goes through Python; texts stay in the JVM.
+so no window sum expresses it.  Only token counts go through Python; texts stay in the JVM, and meet in one shuffle
+by document.
 """
 
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,21 +32,28 @@ def chunk_units(elements: DataFrame) -> DataFrame:
     return units.filter(strip("text") != "")
 
 
+def chunk_starts(tokens: np.ndarray, budget: int) -> np.ndarray:
+    """Places (from 0) at which chunks start: one closes before a unit that would take it over budget, unless it holds no token yet."""
+    starts, held = [], 0
+    for i, n in enumerate(tokens):
+        if not starts or (held > 0 and held + n > budget):
+            starts.append(i)
+            held = 0
+        held += n
+    return np.array(starts, np.int64)
+
+
 def pack(units: DataFrame, budget: int) -> DataFrame:
-    """(doc_id, seq, tokens, chunk_no) of units (doc_id, seq, tokens): a chunk closes before a unit that would take it over budget, unless it holds no token yet.
+    """(doc_id, seq, tokens, chunk_no) of units (doc_id, seq, tokens); a unit above the budget stands alone, none is split.
 
-    A unit above the budget stands alone; units are never split.  Equal seq values are taken in any order.
+    Equal seq values are taken in any order.
     """
 
     def fold(table: pa.Table) -> pa.Table:
         table = table.sort_by("seq")
-        held, number, out = 0, 1, np.empty(table.num_rows, np.int64)
-        for i, n in enumerate(table["tokens"].to_numpy()):
-            if held > 0 and held + n > budget:
-                number, held = number + 1, 0
-            held += n
-            out[i] = number
-        return table.append_column("chunk_no", pa.array(out))
+        fresh = np.zeros(table.num_rows, np.int64)
+        fresh[chunk_starts(table["tokens"].to_numpy(), budget)] = 1
+        return table.append_column("chunk_no", pa.array(np.cumsum(fresh)))
 
     kind = units.schema["doc_id"].dataType.simpleString()
     narrow = units.select("doc_id", F.col("seq").cast("long").alias("seq"), F.col("tokens").cast("long").alias("tokens"))
@@ -58,25 +67,36 @@ def chunks(elements: DataFrame, budget: int = 1000, overlap: int = 150, hierarch
     counts, separators excluded.  A chunk's section is the last one met up to its end; its pages are distinct and
     in order; the first chunk's overlap is empty.  hierarchy holds (doc_id, section_id, hierarchy).
     """
-    units = chunk_units(elements).withColumn("seq", F.col("seq").cast("long")).withColumn("tokens", tokens("text"))
+
+    @F.pandas_udf("array<int>")
+    def starts_of(counts: pd.Series) -> pd.Series:
+        return counts.map(lambda n: chunk_starts(n, budget) + 1)
+
+    units = chunk_units(elements).withColumn("seq", F.col("seq").cast("long")).withColumn("tokens", tokens("text").cast("long"))
     for name in ("section_id", "page_num"):
         if name not in units.columns:
             units = units.withColumn(name, F.lit(None).cast("string" if name == "section_id" else "int"))
-    packed = units.select("doc_id", "seq", "text", "page_num", "section_id").join(pack(units, budget), ["doc_id", "seq"])
-    grouped = packed.groupBy("doc_id", "chunk_no").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", "text"))), lambda x: x["text"]), "\n\n").alias("text"),
-        F.array_sort(F.collect_set(F.nullif(F.col("page_num"), F.lit(0)))).alias("page_range"),
-        F.max_by("section_id", F.when(F.coalesce("section_id", F.lit("")) != "", F.col("seq"))).alias("own_section"),
-        F.sum("tokens").alias("token_count"),
-    )
-    order = Window.partitionBy("doc_id").orderBy("chunk_no")
-    found = grouped.withColumns(
-        {
-            "chunk_id": F.format_string("chunk_%04d", F.col("chunk_no")),
-            "section_id": F.last("own_section", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0)),
-            "prev_chunk_tail": F.coalesce(F.lag(tail("text", overlap)).over(order), F.lit("")),
-        }
-    )
+    whole = units.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("seq", "text", "page_num", "section_id", "tokens"))).alias("units"))
+    started = whole.withColumn("starts", starts_of(F.transform("units", lambda u: u["tokens"])))
+    parts = F.transform("starts", lambda s, i: F.slice("units", s, F.coalesce(F.get("starts", i + 1), F.size("units") + 1) - s))
+    text_of = lambda part: F.array_join(F.transform(part, lambda u: u["text"]), "\n\n")
+    named = lambda part: F.filter(F.transform(part, lambda u: u["section_id"]), lambda x: F.coalesce(x, F.lit("")) != "")
+    last = lambda found: F.when(F.size(found) > 0, F.element_at(found, -1))
+
+    def chunk(doc: Column, part: Column, i: Column) -> Column:
+        return F.struct(
+            text_of(part).alias("text"),
+            F.array_sort(F.array_distinct(F.filter(F.transform(part, lambda u: u["page_num"]), lambda p: F.coalesce(p, F.lit(0)) != 0))).alias("page_range"),
+            last(F.filter(F.slice(doc["sections"], F.lit(1), i + 1), lambda x: x.isNotNull())).alias("section_id"),
+            F.when(i == 0, F.lit("")).otherwise(tail(text_of(F.get(doc["parts"], i - 1)), overlap)).alias("prev_chunk_tail"),
+            F.aggregate(F.transform(part, lambda u: u["tokens"]), F.lit(0).cast("long"), lambda total, n: total + n).alias("token_count"),
+        )
+
+    # a document's chunks are made in its row, from arrays bound once: neither texts nor tails need another shuffle
+    bound = F.array(F.struct(parts.alias("parts"), F.transform(parts, lambda part: last(named(part))).alias("sections")))
+    made = F.get(F.transform(bound, lambda doc: F.transform(doc["parts"], lambda part, i: chunk(doc, part, i))), F.lit(0))
+    found = started.select("doc_id", F.posexplode(made).alias("at", "chunk")).select("doc_id", (F.col("at") + 1).cast("long").alias("chunk_no"), "chunk.*")
+    found = found.withColumn("chunk_id", F.format_string("chunk_%04d", F.col("chunk_no")))
     if hierarchy is not None:
         found = found.join(hierarchy.select("doc_id", "section_id", "hierarchy"), ["doc_id", "section_id"], "left").withColumn("hierarchy", F.coalesce("hierarchy", F.lit("")))
     else:
@@ -92,8 +112,6 @@ def sentence_units(elements: DataFrame) -> DataFrame:
 
 def bpe_tokens(ranks_path: str, pattern: str):
     """A token counter over a tiktoken rank file for `chunks`: Arrow batches, the vocabulary loaded once a worker."""
-    import pandas as pd
-
     @F.pandas_udf("int")
     def count(texts: pd.Series) -> pd.Series:
         encoding = _encoding(ranks_path, pattern)

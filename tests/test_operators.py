@@ -361,3 +361,19 @@ def test_manifest_and_reports(spark):
     done = spark.createDataFrame([(1, True, 1.005, 3, 1), (1, False, 2.0, 4, 0)], "doc_id long, passed boolean, seconds double, text_element_count int, table_count int")
     assert verify.conversion_report(done, plan_only=True).first().warnings == ["One or more hybrid range conversions did not pass Phase 1A checks.", "Plan-only mode did not run Docling conversions."]
     assert sections.outline_gaps(spark.createDataFrame([(1, "A b"), (1, "C")], "doc_id long, title string"), spark.createDataFrame([(1, "a  B")], "doc_id long, title string")).first().slug == "c"
+
+
+def test_late_events_are_left_out(spark, tmp_path):
+    from datetime import datetime, timedelta
+
+    schema, start = "ts timestamp, event_type string, value double", datetime(2024, 1, 1)
+    rows = [[(start + timedelta(minutes=m), "a", 1.0) for m in (0, 10, 70)], [(start + timedelta(hours=9), "a", 1.0)], [(start + timedelta(minutes=5), "a", 100.0), (start + timedelta(hours=20), "a", 1.0)]]
+    src = tmp_path / "events"
+    counts = ingest.stream_event_counts(spark.readStream.schema(schema).parquet(str(src)) if src.mkdir() is None else None)
+    q = counts.writeStream.format("memory").queryName("counts").outputMode("append").start()
+    for part in rows:
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(str(src))
+        q.processAllAvailable()
+    q.stop()
+    found = {(r.s.hour, r.n, r.total) for r in spark.sql("select window.start as s, n, total from counts").collect()}
+    assert {(0, 2, 2.0), (1, 1, 1.0)} <= found and all(total < 100 for _, _, total in found)

@@ -17,6 +17,11 @@ def _issues(check: str, df: DataFrame, messages: Column) -> DataFrame:
     return df.select("doc_id", F.lit(check).alias("check"), F.explode(F.array_compact(messages)).alias("message"))
 
 
+def _named(column: str = "element_id") -> Column:
+    """An element's id in a message; one without an id is called None."""
+    return F.coalesce(F.col(column), F.lit("None"))
+
+
 def _of(kind: str, id_col: str, what: str) -> Column:
     return F.concat(F.lit(f"{kind} "), F.col(id_col), F.lit(f" {what}"))
 
@@ -35,7 +40,7 @@ def word_joins(elements: DataFrame, limit: int = WORD_ISSUES) -> DataFrame:
     suspect = F.col("word").rlike("[a-z]+[A-Z][a-z]+") & (F.char_length("word") > LONG_WORD) & ~F.col("word").rlike(r"http|/|\\")
     place = F.row_number().over(Window.partitionBy("doc_id").orderBy("seq", "at"))
     first = words.filter(suspect).withColumn("place", place).filter(F.col("place") <= limit)
-    return _issues("text_reconstruction_issues", first, F.array(F.concat(F.lit("Element "), "element_id", F.lit(" contains potential word-join artifact: '"), "word", F.lit("'"))))
+    return _issues("text_reconstruction_issues", first, F.array(F.concat(F.lit("Element "), _named(), F.lit(" contains potential word-join artifact: '"), "word", F.lit("'"))))
 
 
 def section_tree(sections: DataFrame) -> DataFrame:
@@ -58,7 +63,7 @@ def table_duplication(elements: DataFrame) -> DataFrame:
     tables = tables.select("doc_id", F.col("page_num").alias("page"), F.col("element_id").alias("table_id"), F.array_join(F.transform("rows", lambda r: F.array_join(r, " ")), " ").alias("content"))
     texts = elements.filter(F.col("type").isin("paragraph", "text") & (F.char_length("text") > LONG_TEXT)).select(F.col("doc_id").alias("d"), "page_num", "element_id", "text")
     met = texts.join(tables, (F.col("d") == F.col("doc_id")) & F.col("page_num").eqNullSafe(F.col("page")) & F.contains("content", "text"))
-    return _issues("table_duplication_issues", met, F.array(F.concat(F.lit("Potential table content duplicated in text element "), "element_id", F.lit(" near table "), "table_id")))
+    return _issues("table_duplication_issues", met, F.array(F.concat(F.lit("Potential table content duplicated in text element "), _named(), F.lit(" near table "), _named("table_id"))))
 
 
 def reading_order_breaks(elements: DataFrame) -> DataFrame:
@@ -66,7 +71,7 @@ def reading_order_breaks(elements: DataFrame) -> DataFrame:
     page = F.nullif(F.col("page_num"), F.lit(0))
     before = F.max(page).over(Window.partitionBy("doc_id").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1))
     found = elements.withColumn("before", before).filter(page < F.col("before"))
-    text = F.concat(F.lit("Reading order violation: Element "), "element_id", F.lit(" is on page "), F.col("page_num").cast("string"), F.lit(" but previous element was on page "), F.col("before").cast("string"), F.lit("."))
+    text = F.concat(F.lit("Reading order violation: Element "), _named(), F.lit(" is on page "), F.col("page_num").cast("string"), F.lit(" but previous element was on page "), F.col("before").cast("string"), F.lit("."))
     return _issues("reading_order_issues", found, F.array(text))
 
 

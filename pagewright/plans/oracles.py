@@ -60,9 +60,9 @@ FLAWED = """base AS (SELECT doc_id, seq, CASE WHEN seq % 11 <> 0 THEN page_num -
   flawed AS (SELECT * FROM base UNION ALL SELECT doc_id, seq + 100000, page_num, 'text', 'c' || coalesce(element_id, 'x'), section_id, source_parser, array_to_string(cells[1:4], ' '), NULL FROM base WHERE cells IS NOT NULL)"""
 GATES = """provenance AS (SELECT doc_id, 'provenance_issues' AS "check", message FROM (SELECT doc_id, unnest(CASE WHEN element_id IS NULL THEN ['Element found without an element_id.'] ELSE [CASE WHEN coalesce(page_num, 0) = 0 THEN 'Element ' || element_id || ' is missing page_num.' END, CASE WHEN section_id = '' THEN 'Element ' || element_id || ' is missing section_id.' END, CASE WHEN source_parser IS NULL THEN 'Element ' || element_id || ' is missing source_parser metadata.' END] END) AS message FROM flawed) WHERE message IS NOT NULL),
   words AS (SELECT doc_id, seq, element_id, unnest(string_split(text, ' ')) AS word, generate_subscripts(string_split(text, ' '), 1) AS i FROM flawed),
-  joins AS (SELECT doc_id, 'text_reconstruction_issues' AS "check", 'Element ' || element_id || ' contains potential word-join artifact: ''' || word || '''' AS message FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY seq, i) AS place FROM words WHERE regexp_matches(word, '[a-z]+[A-Z][a-z]+') AND length(word) > 12 AND NOT contains(word, 'http') AND NOT contains(word, '/')) WHERE place <= 5 AND element_id IS NOT NULL),
-  doubles AS (SELECT t.doc_id, 'table_duplication_issues' AS "check", 'Potential table content duplicated in text element ' || x.element_id || ' near table ' || t.element_id AS message FROM flawed t JOIN flawed x ON x.doc_id = t.doc_id AND x.page_num IS NOT DISTINCT FROM t.page_num AND x.type IN ('paragraph', 'text') AND length(x.text) > 20 AND contains(array_to_string(t.cells, ' '), x.text) WHERE t.cells IS NOT NULL AND x.element_id IS NOT NULL AND t.element_id IS NOT NULL),
-  turns AS (SELECT e.doc_id, 'reading_order_issues' AS "check", 'Reading order violation: Element ' || element_id || ' is on page ' || page_num || ' but previous element was on page ' || high || '.' AS message FROM (SELECT a.doc_id, a.seq, a.element_id, a.page_num, max(CASE WHEN a.page_num > 0 THEN a.page_num END) OVER (PARTITION BY a.doc_id ORDER BY a.seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS high FROM flawed a) e WHERE page_num > 0 AND page_num < high AND element_id IS NOT NULL)"""
+  joins AS (SELECT doc_id, 'text_reconstruction_issues' AS "check", 'Element ' || coalesce(element_id, 'None') || ' contains potential word-join artifact: ''' || word || '''' AS message FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY seq, i) AS place FROM words WHERE regexp_matches(word, '[a-z]+[A-Z][a-z]+') AND length(word) > 12 AND NOT contains(word, 'http') AND NOT contains(word, '/')) WHERE place <= 5),
+  doubles AS (SELECT t.doc_id, 'table_duplication_issues' AS "check", 'Potential table content duplicated in text element ' || coalesce(x.element_id, 'None') || ' near table ' || coalesce(t.element_id, 'None') AS message FROM flawed t JOIN flawed x ON x.doc_id = t.doc_id AND x.page_num IS NOT DISTINCT FROM t.page_num AND x.type IN ('paragraph', 'text') AND length(x.text) > 20 AND contains(array_to_string(t.cells, ' '), x.text) WHERE t.cells IS NOT NULL),
+  turns AS (SELECT e.doc_id, 'reading_order_issues' AS "check", 'Reading order violation: Element ' || coalesce(element_id, 'None') || ' is on page ' || page_num || ' but previous element was on page ' || high || '.' AS message FROM (SELECT a.doc_id, a.seq, a.element_id, a.page_num, max(CASE WHEN a.page_num > 0 THEN a.page_num END) OVER (PARTITION BY a.doc_id ORDER BY a.seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS high FROM flawed a) e WHERE page_num > 0 AND page_num < high)"""
 
 
 def with_(*parts: str, select: str, recursive: bool = False) -> str:

@@ -8,6 +8,7 @@ form, so that unseen inflections of a known stem count.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
@@ -17,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc32_of, slices
+from .common import crc32_of, released, slices
 
 #: The fit reads at most so many labelled documents of each class, lowest seeded hash first.
 FIT_DOCS = 4000
@@ -120,13 +121,15 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
     picked = [known.filter(F.col("__y") == v).orderBy(order, "__id").limit(fit_docs) for v in (0, 1)]
     sample = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text")).join(F.broadcast(picked[0].union(picked[1])), "__id")
 
+    @released
     def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = pd.concat([b.assign(text=b["text"].fillna("")) for b in batches] or [pd.DataFrame({"__id": [], "text": [], "__y": []})])
         rows = rows.sort_values(["__id", "text"])
         model = train(rows["text"].tolist(), rows["__y"].tolist())
         yield pd.DataFrame({"feature": list(model), "weight": list(model.values())})
 
-    return {r["feature"]: r["weight"] for r in sample.repartition(1).mapInPandas(fit, "feature string, weight double").collect()}
+    fitted = {r["feature"]: r["weight"] for r in sample.repartition(1).mapInPandas(fit, "feature string, weight double").collect()}
+    return fitted or train([], [])  # without a labelled document no task may run
 
 
 class SentenceScorer:
@@ -135,33 +138,36 @@ class SentenceScorer:
     def __init__(self, model: dict[str, float]):
         self.bias, self.leak = model["bias"], model["leak"]
         self.model = {k: v for k, v in model.items() if k not in ("bias", "leak")}
-        self.words: dict[str, bool] = {}
-
-    def evident(self, word: str) -> bool:
-        found = self.words.get(word)
-        if found is None:
-            if len(self.words) > 300_000:
-                self.words.clear()
-            found = self.words[word] = any(f in self.model for f in word_features(word))
-        return found
-
-    def sentences(self, text: str) -> list[tuple[int, int, float]]:
-        """(start, end, probability) in characters of every sentence with evidence."""
+        self.starts = {f[:4] for f in self.model if f[0] != "="}
+        self.words: dict[str, tuple[str, ...]] = {}
+
+    def evidence(self, word: str) -> tuple[str, ...]:
+        """The model's features of a word; every character run of a feature starts with one of their first four characters."""
+        marked = f"^{word}$"
+        if "=" + word in self.model or any(marked[i : i + 4] in self.starts for i in range(len(marked) - 3)):
+            return tuple(f for f in word_features(word) if f in self.model)
+        return ()
+
+    def score(self, text: str) -> tuple[float, list[tuple[int, int, float]]]:
+        """The text's score, and (start, end, probability) in characters of every sentence with evidence."""
         lowered = text.lower()
         if len(lowered) != len(text):  # some characters lower to two; spans are of the text itself
             lowered = "".join(c.lower()[:1] for c in text)
-        out = []
-        for m in SENTENCE.finditer(lowered):
-            held = {f for w in set(TOKEN.findall(m[0])) if self.evident(w) for f in word_features(w) if f in self.model}
-            if held:
-                out.append((m.start(), m.end(), float(1 / (1 + np.exp(-np.clip(self.bias + sum(self.model[f] for f in sorted(held)), -30, 30))))))
-        return out
-
-    def score(self, text: str) -> tuple[float, list[tuple[int, int, float]]]:
-        found = self.sentences(text) if any(map(self.evident, set(TOKEN.findall(text.lower())))) else []
-        clear = 1.0 - self.leak
-        for _, _, p in found:
-            clear *= 1.0 - p
+        words = set(TOKEN.findall(lowered))
+        if len(self.words) > 200_000:
+            self.words.clear()
+        known = self.words
+        for w in words:
+            if w not in known:
+                known[w] = self.evidence(w)
+        evident = {w for w in words if known[w]}
+        clear, found = 1.0 - self.leak, []
+        for m in SENTENCE.finditer(lowered) if evident else ():
+            if hits := evident.intersection(TOKEN.findall(m[0])):
+                z = self.bias + sum(self.model[f] for f in sorted({f for w in hits for f in known[w]}))
+                p = 1 / (1 + math.exp(-min(30.0, max(-30.0, z))))
+                found.append((m.start(), m.end(), p))
+                clear *= 1.0 - p
         return 1.0 - clear, found
 
 
@@ -174,6 +180,7 @@ def score_toxicity(docs: DataFrame, model: dict[str, float], id_col: str = "doc_
     docs = docs.drop("toxicity", "offending")
     spans = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = SentenceScorer(model)
         for part in slices(batches, text_col):

@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 import functools
 import math
+import re
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -19,14 +20,23 @@ SLICE_BYTES = 1 << 20
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables: spark.checkpoint.dir, set here only where it is unset (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
+    """The shared folder for intermediate tables: spark.checkpoint.dir.
+
+    Where it is unset, a local session (tests) gets a folder of its own; a cluster has none that all could read.
+    """
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.pagewright.scratch", None)
     if not found:
-        found = spark.conf.get("spark.pagewright.scratch", None) or f"/tmp/checkpoints/{spark.sparkContext.applicationId}"
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        found = f"/tmp/checkpoints/{spark.sparkContext.applicationId}"
         spark.conf.set("spark.pagewright.scratch", found)
     return found.rstrip("/")
 
 
+def _home(spark: SparkSession) -> str:
+    return f"{scratch_dir(spark)}/pagewright-{spark.sparkContext.applicationId}"
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write df once as Parquet in the shared scratch folder and read it back.
 
@@ -34,15 +44,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     iterative plan small.  The table lives until `clear_scratch`.
     """
     spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/pagewright/{name}-{uuid.uuid4().hex}"
+    path = f"{_home(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def clear_scratch(spark: SparkSession) -> None:
-    """Delete every table `materialize` has written; call it when no result is read any more."""
+    """Delete every table that this application's `materialize` has written; call it when no result is read any more."""
     jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{scratch_dir(spark)}/pagewright")
+    path = jvm.org.apache.hadoop.fs.Path(_home(spark))
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 

@@ -19,6 +19,14 @@ def sentences(seed: int, n: int) -> str:
     return ". ".join(words(seed * 1000 + i, 9) for i in range(n)) + "."
 
 
+@pytest.fixture(scope="session", autouse=True)
+def scratch(spark):
+    from pagewright.llm.common import clear_scratch
+
+    yield
+    clear_scratch(spark)
+
+
 @pytest.fixture(scope="session")
 def make(spark):
     """make(rows) gives a documents table of (doc_id, text[, source]) with clashing columns."""

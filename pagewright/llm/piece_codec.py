@@ -20,7 +20,7 @@ from .token_counts import MARK, MODEL, crosses_marks, processor
 
 #: A chunk starts at a run of markers or at a line feed.
 CHUNK = re.compile(f"\n[^ \n{MARK}]*|[ {MARK}]+[^ \n{MARK}]*")
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def chunk_ids(chunks: list[str], sp) -> list[list[int]]:
@@ -73,6 +73,24 @@ def encode_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {kind}, ids array<int>")
 
 
+def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model: str = MODEL) -> DataFrame:
+    """Rows (doc_id, ids array<int>, decoded string): `encode_pieces` and the library's decode(ids) in one pass of one worker."""
+
+    @released
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sp = processor(model)
+        whole = crosses_marks(model)
+        for part in slices(batches, "text", SLICE_BYTES):
+            texts = part.column(1).to_pylist()
+            ends, flat = (None, None) if whole else encode_texts(texts, sp)
+            ids = sp.encode([t or "" for t in texts], num_threads=1) if whole else [flat[a:b].tolist() for a, b in zip(ends[:-1], ends[1:], strict=True)]
+            found = pa.array(ids, pa.list_(pa.int32())) if whole else pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat))
+            yield pa.RecordBatch.from_arrays([part.column(0), found, pa.array(sp.decode(ids), pa.string())], ["doc_id", "ids", "decoded"])
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {kind}, ids array<int>, decoded string")
+
+
 def decode_pieces(encoded: DataFrame, ids_col: str = "ids", out_col: str = "decoded", model: str = MODEL) -> DataFrame:
     """Adds the library's decode(ids) as a string column to all columns of `encoded`; null ids decode to an empty text."""
     columns = [c for c in encoded.columns if c != out_col]

@@ -10,7 +10,7 @@ from .embedding_dedup import near_duplicate_vectors
 from .imatch import band_lexicon, fingerprint_of, likeness, with_next
 from .minhash_dedup import near_duplicates
 from .paragraph_dedup import repeated_passages
-from .piece_codec import decode_pieces, encode_pieces
+from .piece_codec import round_trip
 from .sharding import shuffle_into_shards
 from .source_mixing import mix_sources
 from .suffix_tree import score_texts
@@ -36,7 +36,7 @@ def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the ids of every text and of what they decode to."""
-    found = decode_pieces(encode_pieces(documents(spark, sf_dir)))
+    found = round_trip(documents(spark, sf_dir))
     digest = lambda c: F.sha2(F.encode(c, "UTF-8"), 256)
     return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), digest(F.concat_ws(",", F.col("ids").cast("array<string>"))).alias("ids_sha256"), digest(F.col("decoded")).alias("decoded_sha256"))
 

@@ -62,7 +62,9 @@ def test_codec(odd, odd_rows, sp, spark):
     encoded = piece_codec.encode_pieces(odd)
     found = Counter((r.doc_id, tuple(r.ids), r.decoded) for r in piece_codec.decode_pieces(encoded).collect())
     assert found == Counter((i, tuple(sp.encode(t or "")), sp.decode(sp.encode(t or ""))) for i, t, *_ in odd_rows)
-    assert piece_codec.decode_pieces(piece_codec.encode_pieces(spark.createDataFrame([], SCHEMA))).count() == 0
+    assert found == Counter((r.doc_id, tuple(r.ids), r.decoded) for r in piece_codec.round_trip(odd).collect())
+    for empty in (piece_codec.decode_pieces(piece_codec.encode_pieces(spark.createDataFrame([], SCHEMA))), piece_codec.round_trip(spark.createDataFrame([], SCHEMA))):
+        assert empty.count() == 0
 
 
 @settings(max_examples=300, deadline=None)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pagewright.llm.common import materialize
 from pagewright.llm.minhash_dedup import near_duplicates
 from pagewright.llm.paragraph_dedup import remove_passages, repeated_passages
-from pagewright.llm.piece_codec import decode_pieces, encode_pieces
+from pagewright.llm.piece_codec import round_trip
 from pagewright.llm.source_mixing import apply_mix, mix_sources
 from pagewright.llm.toxicity import fit_toxicity, fold, score_toxicity
 from pagewright.workers import reachable
@@ -49,8 +49,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The ids of every text and whether they decode to it."""
-    encoded = encode_pieces(docs)
-    decoded = decode_pieces(encoded)
+    decoded = round_trip(docs)
     digest = lambda c: F.sha2(F.encode(c, "UTF-8"), 256)
     return decoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", digest(F.col("decoded")).alias("decoded_sha256"))
 

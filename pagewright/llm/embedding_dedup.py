@@ -20,8 +20,10 @@ from pyspark.sql import functions as F
 from .common import materialize, released
 from .components import connected_components
 
-#: Recall wanted for pairs right at the threshold, the most tables, and rows of a bucket that meet in one block.
-RECALL, MOST_TABLES, BLOCK = 0.999, 24, 256
+#: Recall wanted for pairs right at the threshold, and rows of a bucket that meet in one block.
+RECALL, BLOCK = 0.999, 256
+#: Tables have fewer hashes, and so fuller buckets, where a pair at the threshold would meet in a table less often than this.
+LEAST_CHANCE = 0.05
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -85,7 +87,7 @@ def first_meeting(found: np.ndarray, i: np.ndarray, j: np.ndarray, bucket: int)
 
 @cache
 def plan(n: int, dim: int, cosine: float, recall: float = RECALL) -> tuple[int, int]:
-    """(tables, hashes): buckets outnumber n vectors eightfold, and tables reach the recall for pairs at the cosine."""
+    """(tables, hashes): buckets outnumber n vectors eightfold unless pairs would hardly meet, and tables, however many, reach the recall for pairs at the cosine."""
     d = 1 << max(1, (dim - 1).bit_length())
     hashes = max(1, math.ceil(math.log(8 * max(n, 2), 2 * d)))
     draw = np.random.Generator(np.random.PCG64(7))
@@ -95,8 +97,12 @@ def plan(n: int, dim: int, cosine: float, recall: float = RECALL) -> tuple[int,
     z -= (z * x).sum(axis=1, keepdims=True) * x
     z /= np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-12)
     y = cosine * x + math.sqrt(max(0.0, 1 - cosine**2)) * z
-    chance = min(0.9999, max(1e-3, meet(codes(x, 4, hashes), codes(y, 4, hashes)).mean()))
-    return min(MOST_TABLES, max(2, math.ceil(math.log(1 - recall) / math.log(1 - chance)))), hashes
+    met = lambda k: meet(codes(x, 4, k), codes(y, 4, k)).mean()
+    while (chance := met(hashes)) < LEAST_CHANCE and hashes > 1:
+        hashes -= 1
+    # where no drawn pair meets, the chance is taken as that of one in all draws
+    chance = min(0.9999, max(1 / (4 * len(x)), chance))
+    return max(2, math.ceil(math.log(1 - recall) / math.log(1 - chance))), hashes
 
 
 def near_duplicate_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", cosine: float = 0.9) -> DataFrame:

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 from pagewright.llm.components import connected_components
-from pagewright.llm.embedding_dedup import hadamard, near_duplicate_vectors
+from pagewright.llm.embedding_dedup import codes, hadamard, meet, near_duplicate_vectors, plan
 from pagewright.llm.minhash_dedup import least_matches, near_duplicates
 from pagewright.llm.paragraph_dedup import equal_left, equal_right, passages, remove_passages, repeated_passages
 from pagewright.llm.shingles import jaccard_counts, shingle_hashes, word_hashes
@@ -123,6 +123,17 @@ def test_vectors(spark):
     assert near_duplicate_vectors(spark.createDataFrame([], "vec_id long, embedding array<double>")).count() == 0
 
 
+@pytest.mark.parametrize(("n", "dim"), [(1_000_000, 64), (100_000_000, 64), (4_000_000, 32)])
+def test_recall_at_every_size(n, dim):
+    tables, hashes = plan(n, dim, 0.9)
+    draw = np.random.default_rng(11)
+    x, z = draw.normal(size=(2, 1000, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    z -= (z * x).sum(axis=1, keepdims=True) * x
+    y = 0.9 * x + np.sqrt(1 - 0.81) * z / np.linalg.norm(z, axis=1, keepdims=True)
+    assert meet(codes(x, tables, hashes), codes(y, tables, hashes)).any(axis=1).mean() >= 0.996
+
+
 def cut_texts(df):
     return {r.doc_id: r.text for r in df.collect()}
 

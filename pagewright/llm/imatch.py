@@ -13,8 +13,9 @@ from pyspark.sql.window import Window
 
 #: The band of inverse document frequency, as document shares: terms in fewer or more documents are dropped.
 LOW_SHARE, HIGH_SHARE = 0.01, 0.25
-#: A subset keeps one term in so many; there are PER_SPARSITY subsets of each sparsity.
+#: A subset keeps one term in so many.  All subsets of the first sparsity are used, so that every term of the lexicon is in one; there are PER_SPARSITY of each other.
 SPARSITIES, PER_SPARSITY = (32, 64, 128, 256), 8
+SUBSETS = [(i, r) for i, s in enumerate(SPARSITIES) for r in range(PER_SPARSITY if i else s)]
 #: Hash cells of the first counting pass.
 CELLS = 1 << 16
 SEED = 41
@@ -58,7 +59,7 @@ def fingerprint_of(text: Column, lexicon: list[str]) -> Column:
         return F.filter(terms, lambda x: F.pmod(F.shiftright(x["h"], 7 * level), F.lit(SPARSITIES[level])) == residue)
 
     def parts(terms: Column) -> Column:
-        return F.array_join(F.array(*[hash_of(subset(terms, i, r)) for i in range(len(SPARSITIES)) for r in range(PER_SPARSITY)]), " ")
+        return F.array_join(F.array(*[hash_of(subset(terms, i, r)) for i, r in SUBSETS]), " ")
 
     whole = F.concat(F.lit("="), F.sha2(F.encode(text, "UTF-8"), 256))
     # the lambda binds the term array once for all subsets

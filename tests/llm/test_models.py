@@ -120,6 +120,14 @@ def test_fingerprints(odd, odd_rows, spark):
     assert imatch.fingerprint(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_no_term_is_outside_all_subsets(make):
+    terms = [f"t{i}" for i in range(60)]
+    rows = [(i, " ".join(terms[j % 60] for j in range(i, i + 1 + i // 60))) for i in range(180)]
+    found = imatch.fingerprint(make(rows), low=0.01, high=0.9).collect()
+    assert imatch.band_lexicon(make(rows).select("text"), "text", 0.01, 0.9) == sorted(terms)
+    assert len({r.fingerprint for r in found}) == len({frozenset(r.text.split()) for r in found}) == 180
+
+
 def test_next_rows(make):
     draw = random.Random(7)
     ids = draw.sample(range(10**12), 200) + [-5, 0]

@@ -128,8 +128,8 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 
 
 def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Repeats of one document and one first document, joined where they touch: where the joined one starts and ends in both."""
-    names = ["doc", "fdoc", "start", "end", "wa", "wb", "fstart", "fend"]
+    """Repeats of one document and one first document, joined where they touch: where the joined one starts and ends in both, and where the first one's kept occurrence ends (stop)."""
+    names = ["doc", "fdoc", "start", "end", "wa", "wb", "fstart", "fend", "stop"]
     for batch in batches:
         out: list[list[int]] = []
         for doc, fdoc, spans in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -139,8 +139,8 @@ def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     if s["wb"] > out[-1][5]:
                         out[-1][3], out[-1][5], out[-1][7] = s["end"], s["wb"], s["fend"]
                 else:
-                    out.append([doc, fdoc, s["start"], s["end"], s["wa"], s["wb"], s["fstart"], s["fend"]])
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.int64() if i < 2 else pa.int32()) for i in range(8)], names)
+                    out.append([doc, fdoc, s["start"], s["end"], s["wa"], s["wb"], s["fstart"], s["fend"], s["fend"]])
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.int64() if i < 2 else pa.int32()) for i in range(9)], names)
 
 
 def equal_left(x: bytes, y: bytes) -> tuple[int, int]:
@@ -162,21 +162,32 @@ def equal_right(x: bytes, y: bytes) -> tuple[int, int]:
 
 
 def _extended(joined: DataFrame, texts: DataFrame) -> DataFrame:
-    """Joined repeats (doc, start, end, wa, wb, fdoc), extended as far as they equal what is kept."""
+    """Joined repeats (doc, start, end, wa, wb, fdoc), extended as far as they equal what is kept.
+
+    Within one document the left context ends at the kept occurrence, and the kept one's right context at the
+    extended repeat; where repeats that touch reach over their own kept occurrences, the text goes on equal to
+    itself and the right context is as it is.
+    """
     around = lambda s, e: (F.substring("text", F.greatest(F.col(s) + 1 - CONTEXT, F.lit(1)), F.least(F.col(s), F.lit(CONTEXT))), F.substring("text", F.col(e) + 1, CONTEXT))
     left, right = around("start", "end")
     own = joined.join(texts, "doc").withColumn("left", left).withColumn("right", right).drop("text")
     left, right = around("fstart", "fend")
     both = own.join(texts.withColumnRenamed("doc", "fdoc"), "fdoc").withColumn("fleft", left).withColumn("fright", right)
-    both = both.select("doc", "start", "end", "wa", "wb", "fdoc", "left", "fleft", "right", "fright")
+    both = both.select("doc", "start", "end", "wa", "wb", "fdoc", "left", "fleft", "right", "fright", "fend", "stop")
     schema = pa.schema([("doc", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("wa", pa.int32()), ("wb", pa.int32()), ("fdoc", pa.int64())])
 
     @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for doc, start, end, wa, wb, fdoc, left, fleft, right, fright in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                (more, before), (yet, after) = ((0, 0), (0, 0)) if doc == fdoc else (equal_left(left, fleft), equal_right(right, fright))
+            for doc, start, end, wa, wb, fdoc, left, fleft, right, fright, fend, stop in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                # a context of CONTEXT bytes may cut a word, one that stops at the other occurrence does not
+                if doc == fdoc:
+                    left = left[max(0, len(left) - (start - stop)) :]
+                more, before = equal_left(left, fleft)
+                if doc == fdoc and fend <= start:
+                    fright = fright[: max(0, start - before - fend)]
+                yet, after = equal_right(right, fright)
                 out.append((doc, start - before, end + after, wa - more, wb + yet, fdoc))
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], f.type) for i, f in enumerate(schema)], schema.names)
 
@@ -240,7 +251,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     firsts = materialize(firsts, "paragraph-firsts")  # written first, so that the join stands alone and a component of any size can be split
     extra = placed.join(firsts, "c").filter("doc <> fdoc or start >= fend")
     spans = extra.groupBy("doc", "fdoc").agg(F.array_sort(F.collect_set(F.struct("wa", "wb", "start", "end", "fstart", "fend"))).alias("spans"))
-    joined = spans.mapInArrow(_joined, "doc long, fdoc long, start int, end int, wa int, wb int, fstart int, fend int")
+    joined = spans.mapInArrow(_joined, "doc long, fdoc long, start int, end int, wa int, wb int, fstart int, fend int, stop int")
     return _merged(_extended(materialize(joined, "paragraph-joined"), texts), min_words)
 
 

@@ -163,6 +163,22 @@ def test_repeated_passages(make):
     assert {r.first_doc_id for r in repeats.collect()} == {0, 20, 60}
 
 
+def test_passages_repeated_within_one_line(make):
+    rows = []
+    for i in range(51, 71):
+        passage = words(500 + i, i)
+        rows.append((i, f"{words(600 + i, 60)} {passage} {words(700 + i, 30)} {passage} {words(800 + i, 40)}"))
+        rows.append((100 + i, f"{words(900 + i, 20)} {words(950 + i, i)} {words(950 + i, i)} {words(1000 + i, 20)}"))
+    rows.append((300, " ".join([words(1100, 60)] * 4)))
+    docs = make(rows)
+    repeats = repeated_passages(docs).cache()
+    assert {r.doc_id for r in repeats.collect()} == {i for i, _ in rows} and all(r.doc_id == r.first_doc_id for r in repeats.collect())
+    cut = cut_texts(remove_passages(docs, repeats))
+    for i, text in rows:
+        gone = 180 if i == 300 else i % 100
+        assert len(cut[i].split()) == len(text.split()) - gone and len(runs(cut[i], 50)) == len(cut[i].split()) - 49
+
+
 def test_repeated_passages_of_odd_rows(odd, odd_rows, spark):
     repeats = repeated_passages(odd).cache()
     cut = remove_passages(odd, repeats)

@@ -8,13 +8,15 @@ its first occurrence, by document id and place.  Every other occurrence is a rep
 and extended, word by word, as far as they equal what is kept.
 
 Copies within one slice of input are joined there, so a passage that most documents share reaches the shuffle
-once a slice; in a bucket every passage is compared with the first and with the one before it.
+once a slice; in a bucket every passage is compared with the first and with the one before it.  Where that leaves
+several components in a bucket, its lines go through an exact prefix-filtered join across components.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +26,7 @@ from pyspark.sql.window import Window
 
 from .common import materialize, released, slices
 from .components import connected_components
+from .minhash_dedup import across_components
 from .shingles import jaccard_counts, minhash, range_hashes, shingle_hashes, word_hashes, mix
 
 MIN_WORDS, SHINGLE, PERCENT = 50, 5, 80
@@ -105,8 +108,13 @@ def _listed(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> Data
     return rows.mapInArrow(run, "e long, doc long, start int, end int, wa int, wb int, bands array<long>, repeated boolean, fresh boolean")
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """Classes (a, b) of near pairs whose shingle sets have 100 * intersection >= percent * union."""
+def _cut(wanted: DataFrame, texts: DataFrame) -> DataFrame:
+    """(e, t): the passages wanted (e, doc, start, end), as they stand in texts."""
+    return materialize(texts.join(wanted, "doc").select("e", F.substring("text", F.col("start") + 1, F.col("end") - F.col("start")).alias("t")).dropDuplicates(["e"]), "paragraph-lines")
+
+
+def _confirmed(named: DataFrame, cut: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of classes whose shingle sets, of their passages in cut (e, t), have 100 * intersection >= percent * union."""
 
     @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,14 +127,25 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
             good = pa.array([100 * shared >= percent * union > 0 for shared, union in counts], pa.bool_())
             yield pa.RecordBatch.from_arrays([part.column(i).filter(good) for i in (0, 1)], ["a", "b"])
 
-    sides = [pairs.select(*[F.col(f"{p}{c}").alias(c) for c in OWN[:4]]) for p in ("", "p")]
-    wanted = sides[0].unionAll(sides[1]).groupBy("e").agg(F.min(F.struct(*OWN[1:4])).alias("w")).select("e", "w.*")
-    cut = materialize(texts.join(wanted, "doc").select("e", F.substring("text", F.col("start") + 1, F.col("end") - F.col("start")).alias("t")), "paragraph-lines")
     side = lambda c: cut.select(F.col("e").alias(c), F.col("t").alias(f"t{c}"))
-    named = pairs.select(F.col("e").alias("a"), F.col("pe").alias("b")).distinct()
     return named.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long").distinct()
 
 
+def _across(lines: DataFrame, tested: DataFrame, texts: DataFrame, components: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between the components that lines of one band bucket are still in, by an exact join; none of the pairs in tested."""
+    classes = lines.groupBy("e").agg(F.min(F.struct("doc", "start", "end")).alias("w"), F.first("bands").alias("bands"))
+    placed = classes.join(components, F.col("e") == F.col("node"), "left").select("e", "w", F.explode("bands").alias("key"), F.coalesce("component", "e").alias("component"))
+    placed = materialize(placed, "paragraph-members")
+    split = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("key")
+    open_ = materialize(placed.join(split, "key", "left_semi").select("e", "w", "component").distinct(), "paragraph-open")
+    if open_.isEmpty():
+        return tested.limit(0)
+    cut = _cut(open_.select("e", "w.*"), texts)
+    pairs = across_components(open_.select(F.col("e").alias("class_id"), "component"), cut.select(F.col("e").alias("class_id"), F.col("t").alias("text")), SHINGLE, percent)
+    seen = tested.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    return materialize(_confirmed(pairs.join(seen, ["a", "b"], "left_anti"), cut, percent), "paragraph-links")
+
+
 def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Repeats of one document and one first document, joined where they touch: where the joined one starts and ends in both, and where the first one's kept occurrence ends (stop)."""
     names = ["doc", "fdoc", "start", "end", "wa", "wb", "fstart", "fend", "stop"]
@@ -240,12 +259,20 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     # the only time that whole texts are shuffled
     rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("binary").alias("text"))
     texts = materialize(rows.join(involved, "doc", "left_semi"), "paragraph-texts")
-    links = materialize(_confirmed(near, texts, percent), "paragraph-links")
+    sides = [near.select(*[F.col(f"{p}{c}").alias(c) for c in OWN[:4]]) for p in ("", "p")]
+    wanted = sides[0].unionAll(sides[1]).groupBy("e").agg(F.min(F.struct(*OWN[1:4])).alias("w")).select("e", "w.*")
+    tested = near.select(F.col("e").alias("a"), F.col("pe").alias("b")).distinct()
+    links = materialize(_confirmed(tested, _cut(wanted, texts), percent), "paragraph-links")
     components = materialize(connected_components(links), "paragraph-components")
+    lines = listed.filter("fresh and bands is not null")
+    more = _across(lines, tested, texts, components, percent)
+    if not more.isEmpty():
+        components = materialize(connected_components(links.unionAll(more)), "paragraph-components")
     linked = near.join(links, (F.col("e") == F.col("a")) & (F.col("pe") == F.col("b")), "left_semi")
     firsts_of = [F.col(f"p{c}").alias(c) for c in OWN]
-    found = [equal.select(*OWN), equal.select(*firsts_of), linked.select(*OWN), linked.select(*firsts_of), listed.filter("repeated").select(*OWN)]
-    occurrences = found[0].unionAll(found[1]).unionAll(found[2]).unionAll(found[3]).unionAll(found[4]).distinct()
+    late = lines.select(*OWN).join(more.select(F.explode(F.array("a", "b")).alias("e")).distinct(), "e", "left_semi")
+    found = [equal.select(*OWN), equal.select(*firsts_of), linked.select(*OWN), linked.select(*firsts_of), listed.filter("repeated").select(*OWN), late]
+    occurrences = reduce(DataFrame.unionAll, found).distinct()
     placed = materialize(occurrences.join(components, F.col("e") == F.col("node"), "left").select(F.coalesce("component", "e").alias("c"), *OWN[1:]), "paragraph-occurrences")
     firsts = placed.groupBy("c").agg(F.min(F.struct("doc", "start", "end")).alias("f")).select("c", F.col("f.doc").alias("fdoc"), F.col("f.start").alias("fstart"), F.col("f.end").alias("fend"))
     firsts = materialize(firsts, "paragraph-firsts")  # written first, so that the join stands alone and a component of any size can be split

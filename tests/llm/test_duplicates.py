@@ -163,6 +163,24 @@ def test_repeated_passages(make):
     assert {r.first_doc_id for r in repeats.collect()} == {0, 20, 60}
 
 
+def test_lines_that_share_a_template(make):
+    """Two near copies of each line, of which most band buckets hold lines of many families between."""
+    draw = random.Random(8)
+    template = words(40, 100).split(" ")
+    families, copies = [], []
+    for i in range(300):
+        w = list(template)
+        for at in draw.sample(range(0, 100, 5), 2):
+            w[at] = f"z{draw.randrange(10**6)}x{i}"
+        families.append(" ".join(w))
+        copies.append(" ".join(w[:-1] + [f"y{i}"]))
+    rows = list(enumerate(families + copies))
+    sets, expected = brute(rows, 5, 80)
+    found = {r.doc_id: r.first_doc_id for r in repeated_passages(make(rows)).collect() if r.end - r.start > 300}
+    assert all(len(sets[i] & sets[300 + i]) * 100 >= 80 * len(sets[i] | sets[300 + i]) for i in range(300))
+    assert {*found} >= {i for i, c in expected.items() if c != i}
+
+
 def test_passages_repeated_within_one_line(make):
     rows = []
     for i in range(51, 71):

@@ -278,7 +278,7 @@ def label_counts(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN 'CrossExamination,reintroduced,STATEOFUNION' ELSE '' END AS samples FROM documents")
 def word_join_samples(spark: SparkSession, d: str) -> DataFrame:
-    made = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("STATEOFUNION reintroduced CrossExamination reintroduced "), F.substring("text", 1, 20))).otherwise(F.lower(F.substring("text", 1, 40)))
+    made = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("STATEOFUNION reintroduced CrossExamination reintroduced "), F.col("text"))).otherwise(F.lower("text"))
     return verify.word_join_samples(a.documents(spark, d).select("doc_id", made.alias("markdown"))).withColumn("samples", joined("samples"))
 
 

@@ -39,6 +39,11 @@ def test_query_equals_sql(spark, duck, name):
     assert found
 
 
+def test_word_joins_of_whole_texts(spark, tmp_path):
+    spark.createDataFrame([(1, "plain words " * 20 + "Misintroduced here")], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    assert [r.samples for r in registry.queries()["word_join_samples"](spark, str(tmp_path)).collect()] == ["misintroduced"]
+
+
 def test_every_query_has_sql():
     assert set(registry.queries()) == set(registry.oracle_sql())
 

@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 import hashlib
+import itertools
 import math
 import random
 import re
 from collections import Counter
 
-import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from pagewright.llm import imatch, suffix_tree, toxicity
 from pagewright.llm.queries import op7_imatch
@@ -81,18 +80,78 @@ def test_suffix_tree(make):
     assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
-def test_tree_sums_to_one(make):
+def brute_tree(training, depth, least_word, least_context, least_pair):
+    """log10 probability of a token after a context, by dictionaries: contexts level by level, the longest kept suffix at last."""
+    streams = [["<start>", *tokens(t)] for t in training]
+    unigram = Counter(x for s in streams for x in s[1:])
+    n, v = sum(unigram.values()), len(unigram)
+    root = lambda x: (unigram.get(x, 0) + 0.5) / (n + 0.5 * (v + 1))
+    words = {x for x, c in unigram.items() if c >= least_word} | {"<start>"}
+    kept = {}
+
+    def q(context, x):
+        for i in range(len(context)):
+            own = kept.get(context[i:])
+            if own:
+                return own[0][x] if x in own[0] else own[1] * q(context[i + 1 :], x)
+        return root(x)
+
+    for d in range(1, depth + 1):
+        seen, total = {}, Counter()
+        for s in streams:
+            for i in range(d, len(s)):
+                context = tuple(s[i - d : i])
+                total[context] += 1
+                if words.issuperset(s[i - d : i + 1]):
+                    seen.setdefault(context, Counter())[s[i]] += 1
+        level = {}
+        for context, found in seen.items():
+            found = {x: c for x, c in found.items() if c >= least_pair}
+            if total[context] < least_context or not found:
+                continue
+            share = {x: (c - 0.5) / (total[context] + 1) for x, c in found.items()}
+            parent = {x: q(context[1:], x) for x in found}
+            rest = (1 - sum(share.values())) / max(1 - sum(parent.values()), 1e-9)
+            gain = sum(c * math.log(share[x] / parent[x]) for x, c in found.items()) + (total[context] - sum(found.values())) * math.log(rest)
+            if gain > 0.5 * (len(found) + 1) * math.log(max(total[context], 2)):
+                level[context] = (share, rest)
+        kept |= level
+    return lambda s, i: math.log10(q(tuple(s[max(0, i - depth) : i]), s[i])), kept, root
+
+
+def test_tree_is_that_of_dictionaries(make, monkeypatch):
     draw = random.Random(5)
-    docs = make([(i, " ".join(draw.choice("abcabcde") for _ in range(50))) for i in range(80)])
-    counts = suffix_tree.word_tally(docs, "text")
-    n = counts.agg(F.sum("c")).first()[0]
-    scale = n + 0.5 * (counts.count() + 1)
-    tree = suffix_tree.build_tree(docs, "text", counts, n, scale)
-    assert len(tree.levels) >= 1
-    symbols = np.arange(tree.rare + 1)
-    for context in ([tree.start] * 3, [0, 1, 2], [tree.start, 0, 1], [tree.rare] * 3, [2, 2, 2]):
-        code = sum(x << suffix_tree.BITS * j for j, x in enumerate(reversed(context)))
-        assert tree.probability(np.full(len(symbols), code), symbols).sum() == pytest.approx(1)
+    after = {k: draw.choice("abcdef") for k in itertools.product("abcdef", repeat=3)}
+
+    def text(n):
+        out = draw.choices("abcdef", k=3)
+        for _ in range(n):
+            out.append(after[tuple(out[-3:])] if draw.random() < 0.7 else draw.choice(["a", "b", "c", "d", "e", "f", words(draw.randrange(60), 1)]))
+            if out[-1] not in "abcdef":
+                out += draw.choices("abcdef", k=3)
+        return " ".join(out)
+
+    rows = [(i, text(draw.randint(0, 60))) for i in range(150)] + [(200, None)]
+    docs = make(rows)
+    for head in (1 << 20, 16):  # all entries in the head, or most of them joined
+        monkeypatch.setattr(suffix_tree, "HEAD", head)
+        monkeypatch.setattr(suffix_tree.head_of, "__defaults__", (head,))
+        found = {r.doc_id: r.score for r in suffix_tree.score_texts(docs, docs.filter("doc_id % 5 <> 1")).collect()}
+        log_q, kept, _ = brute_tree([t for i, t in rows if i % 5 != 1], suffix_tree.DEPTH, 5, suffix_tree.LEAST_CONTEXT, suffix_tree.LEAST_PAIR)
+        assert {len(c) for c in kept} == {1, 2, 3}
+        for i, t in rows:
+            s = ["<start>", *tokens(t)]
+            assert found[i] == pytest.approx(sum(log_q(s, k) for k in range(1, len(s))))
+
+
+def test_tree_sums_to_one():
+    draw = random.Random(5)
+    texts = [" ".join(draw.choice("abcabcde") for _ in range(50)) for _ in range(80)]
+    log_q, kept, root = brute_tree(texts, 3, 5, 20, 3)
+    symbols = [*"abcde", None, "unseen"]
+    for context in (("<start>",), ("a", "b", "c"), ("<start>", "a"), ("unseen",) * 3, ("c", "c")):
+        assert sum(10 ** log_q([*context, x], len(context)) for x in symbols) == pytest.approx(1)
+    assert sum(map(root, symbols)) == pytest.approx(1)
 
 
 def test_suffix_tree_of_odd_rows(odd, odd_rows, spark):

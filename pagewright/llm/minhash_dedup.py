@@ -1,6 +1,6 @@
 """MinHash near-duplicate documents with sequential Bayesian verification.
 
-Equal word sequences are one class.  Classes that share a band of their signatures are candidates; a candidate's
+Rows are numbered and written once; equal word sequences are one class.  Classes that share a band of their signatures are candidates; a candidate's
 signatures are compared batch by batch and it is given up once the posterior chance of the wanted similarity
 falls below the chosen miss probability; survivors are confirmed on full shingle sets.
 
@@ -46,25 +46,27 @@ def least_matches(n: int, similarity: float, miss: float = MISS) -> int:
     return n
 
 
-def signatures(docs: DataFrame, id_col: str, text_col: str, k: int) -> DataFrame:
-    """(doc_id, same, n_shingles, signature): same identifies the word sequence and is null without words."""
+def signatures(docs: DataFrame, id_col: str, text_col: str, k: int, keep: list[str] = ()) -> DataFrame:
+    """(row, doc_id, text, kept, class_id, n_shingles, signature): row numbers the rows, kept holds the columns `keep`, class_id identifies the word sequence and is null without words."""
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"), F.struct(F.lit(0).alias("_"), *keep).alias("kept"))
+    names = [*rows.columns, "class_id", "n_shingles", "signature"]
 
     @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
-            texts = [t or b"" for t in part.column(1).to_pylist()]
+            texts = [t or b"" for t in part.column(2).to_pylist()]
             words, offsets, _, _ = word_hashes(texts)
             same, count, signed = [], [], []
             for i in range(len(texts)):
                 own = words[offsets[i] : offsets[i + 1]]
                 found = shingle_hashes(own, k)
                 count.append(len(found))
-                same.append(hashlib.blake2b(own.tobytes(), digest_size=16).digest() if len(own) else None)
+                same.append(int.from_bytes(hashlib.blake2b(own.tobytes(), digest_size=8).digest(), "little", signed=True) if len(own) else None)
                 signed.append(minhash(found, BANDS * ROWS).view(np.int32) if len(found) else None)
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(same, pa.binary()), pa.array(count, pa.int64()), pa.array(signed, pa.list_(pa.int32()))], ["doc_id", "same", "n_shingles", "signature"])
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(same, pa.int64()), pa.array(count, pa.int64()), pa.array(signed, pa.list_(pa.int32()))], names)
 
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, same binary, n_shingles long, signature array<int>")
+    kind = rows.schema["kept"].dataType.simpleString()
+    return rows.mapInArrow(run, f"row long, doc_id long, text binary, kept {kind}, class_id long, n_shingles long, signature array<int>")
 
 
 def likely(pairs: DataFrame, classes: DataFrame, similarity: float) -> DataFrame:
@@ -160,24 +162,18 @@ def across_components(open_: DataFrame, texts: DataFrame, k: int, percent: int)
     return pairs.select(F.greatest("x.class_id", "y.class_id").alias("a"), F.least("x.class_id", "y.class_id").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
-    """Rows (doc_id, n_shingles, component_id, kept), one for each row of docs.
-
-    Documents are linked when their sets of k-word shingles have 100 * intersection >= percent * union; a
-    component_id is the least doc_id reachable, itself included, and kept says that it is the row's own.
-    Texts without words, null ones too, are linked with nothing.  A null id is linked with nothing, has a null
-    component and is kept.  Rows that share an id are one node and all carry its component.  Other columns are not read.
-    """
-    base = materialize(signatures(docs, id_col, text_col, k), "minhash-signatures")
-    linkable = base.filter("same is not null and doc_id is not null")
-    classes = materialize(linkable.groupBy("same").agg(F.min("doc_id").alias("class_id"), F.first("signature").alias("signature")), "minhash-classes")
+def _components(base: DataFrame, k: int, percent: int) -> DataFrame:
+    """(class_id, node, component_id): the least class and the least doc_id of every class's component."""
+    linkable = base.filter("class_id is not null and doc_id is not null")
+    classes = materialize(linkable.groupBy("class_id").agg(F.min("doc_id").alias("least_id"), F.first(F.struct("row", "signature")).alias("one")).select("class_id", "least_id", "one.*"), "minhash-classes")
     band = F.explode(F.array(*[F.xxhash64(F.lit(i), F.slice("signature", i * ROWS + 1, ROWS)) for i in range(BANDS)]))
     banded = classes.select("class_id", band.alias("band"))
-    shared = banded.groupBy("band").agg(F.min("class_id").alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    # what a join needs of its keys is written first here and below, so that the join stands alone and a hot key can be split
+    shared = materialize(banded.groupBy("band").agg(F.min("class_id").alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "minhash-bands")
     members = materialize(banded.join(shared, "band"), "minhash-members")
-    rows = docs.select(F.col(id_col).cast("long").alias("class_id"), F.col(text_col).cast("binary").alias("text"))
+    wanted = materialize(members.select("class_id").distinct().join(classes.select("class_id", "row"), "class_id"), "minhash-wanted")
     # the only time that whole texts are shuffled
-    texts = materialize(rows.join(members.select("class_id").distinct(), "class_id", "left_semi"), "minhash-texts")
+    texts = materialize(base.select("row", "text").join(wanted, "row").select("class_id", "text"), "minhash-texts")
 
     def test(pairs: DataFrame) -> DataFrame:
         survivors = materialize(likely(pairs, classes, percent / 100), "minhash-likely")
@@ -186,14 +182,45 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     tested = materialize(members.filter("class_id <> least").select(F.col("class_id").alias("a"), F.col("least").alias("b")).distinct(), "minhash-pairs")
     links = test(tested)
     components = materialize(connected_components(links), "minhash-components")
-    placed = members.join(components, F.col("class_id") == F.col("node"), "left").select("band", "class_id", F.coalesce("component", "class_id").alias("component"))
-    split = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("band")
+    placed = materialize(members.join(components, F.col("class_id") == F.col("node"), "left").select("band", "class_id", F.coalesce("component", "class_id").alias("component")), "minhash-placed")
+    split = materialize(placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("band"), "minhash-split")
     open_ = materialize(placed.join(split, "band", "left_semi").select("class_id", "component").distinct(), "minhash-open")
     across = across_components(open_, texts, k, percent)
     more = test(materialize(across.join(tested, ["a", "b"], "left_anti"), "minhash-pairs"))
-    components = connected_components(links.unionAll(more))
-    found = classes.select("same", "class_id").join(components, F.col("class_id") == F.col("node"), "left").select("same", F.coalesce("component", "class_id").alias("component"))
-    rows = base.select("doc_id", "same", "n_shingles")
-    linked = rows.filter("same is not null and doc_id is not null").join(found, "same").select("doc_id", "n_shingles", F.col("component").alias("component_id"))
-    alone = rows.filter("same is null or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    # the first components are one star each, so the second round of linking starts from them
+    stars = components.filter("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+    components = connected_components(stars.unionAll(more))
+    placed = materialize(classes.select("class_id", "least_id").join(components, F.col("class_id") == F.col("node"), "left").select("class_id", "least_id", F.coalesce("component", "class_id").alias("node")), "minhash-found")
+    least = materialize(placed.groupBy("node").agg(F.min("least_id").alias("component_id")), "minhash-least")
+    return materialize(placed.join(least, "node").select("class_id", "node", "component_id"), "minhash-found")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
+    """Rows (doc_id, n_shingles, component_id, kept), one for each row of docs.
+
+    Documents are linked when their sets of k-word shingles have 100 * intersection >= percent * union; a
+    component_id is the least doc_id reachable, itself included, and kept says that it is the row's own.
+    Texts without words, null ones too, are linked with nothing.  A null id is linked with nothing, has a null
+    component and is kept.  Rows that share an id but not their words are documents of their own.  Other columns
+    are not read.
+    """
+    base = materialize(signatures(docs, id_col, text_col, k), "minhash-signatures")
+    rows = base.select("doc_id", "class_id", "n_shingles")
+    linked = rows.filter("class_id is not null and doc_id is not null").join(_components(base, k, percent), "class_id").select("doc_id", "n_shingles", "component_id")
+    alone = rows.filter("class_id is null or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return linked.unionAll(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
+    """Docs, in docs' columns, with one row of each component of near duplicates: of its least doc_id.
+
+    Of several such rows with different words the one of the least hash of them stays, of rows with equal words
+    any one.  Rows that share an id but not their words are documents of their own, so no text is lost with
+    another's id.  Texts without words and rows with a null id stay.
+    """
+    base = materialize(signatures(docs, id_col, text_col, k, docs.columns), "minhash-signatures")
+    alone = base.filter("class_id is null or doc_id is null").select("row")
+    found = base.filter("class_id is not null and doc_id is not null").select("row", "doc_id", "class_id").join(_components(base, k, percent), "class_id")
+    firsts = found.filter("doc_id = component_id").groupBy("node", "class_id").agg(F.min("row").alias("row")).groupBy("node").agg(F.min_by("row", "class_id").alias("row"))
+    chosen = materialize(firsts.select("row").unionAll(alone), "minhash-chosen")
+    return base.select("row", "kept").join(chosen, "row", "left_semi").select(*[F.col("kept")[c].alias(c) for c in docs.columns])

@@ -9,7 +9,7 @@ import pytest
 
 from pagewright.llm.components import connected_components
 from pagewright.llm.embedding_dedup import codes, hadamard, meet, near_duplicate_vectors, plan
-from pagewright.llm.minhash_dedup import least_matches, near_duplicates
+from pagewright.llm.minhash_dedup import drop_near_duplicates, least_matches, near_duplicates
 from pagewright.llm.paragraph_dedup import equal_left, equal_right, passages, remove_passages, repeated_passages
 from pagewright.llm.shingles import jaccard_counts, shingle_hashes, word_hashes
 
@@ -83,6 +83,16 @@ def test_near_duplicates_of_odd_rows(odd, odd_rows, spark):
     assert near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_near_duplicates_of_shared_ids(make):
+    one, two = words(21, 120), words(22, 120)
+    rows = [(1, one), (1, two), (2, near_copies(1, one, 1, 1)[0]), (3, near_copies(2, two, 1, 1)[0]), (5, words(23, 90)), (5, words(24, 90)), (5, words(24, 90)), (6, words(23, 90)), (4, words(24, 90))]
+    for table in (make(rows), make(rows[::-1])):
+        found = sorted((r.doc_id, r.component_id, r.kept) for r in near_duplicates(table).collect())
+        assert found == [(1, 1, True), (1, 1, True), (2, 1, False), (3, 1, False), (4, 4, True), (5, 4, False), (5, 4, False), (5, 5, True), (6, 5, False)]
+        kept = sorted((r.doc_id, r.text) for r in drop_near_duplicates(table).collect())
+        assert kept == sorted([(1, one), (1, two), (4, words(24, 90)), (5, words(23, 90))])
+
+
 def test_posterior_bound():
     draw = np.random.default_rng(1)
     floor = least_matches(50, 0.8, 1e-3)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagewright.llm.common import materialize
-from pagewright.llm.minhash_dedup import near_duplicates
+from pagewright.llm.minhash_dedup import drop_near_duplicates
 from pagewright.llm.paragraph_dedup import remove_passages, repeated_passages
 from pagewright.llm.piece_codec import round_trip
 from pagewright.llm.source_mixing import apply_mix, mix_sources
@@ -29,11 +29,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the least doc_id of each near-duplicate component on five-word shingles; rows with a null id stay, of rows that share an id one stays."""
-    found = near_duplicates(docs, k=5, percent=80)
-    kept = found.filter("kept and doc_id is not null").select("doc_id").distinct()
-    alone = docs.filter("doc_id is null")
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"]).unionByName(alone)
+    """Keeps one row of each near-duplicate component on five-word shingles, of its least doc_id; rows with a null id and texts without words stay."""
+    return drop_near_duplicates(docs, k=5, percent=80)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -133,6 +133,13 @@ def test_vectors(spark):
     assert near_duplicate_vectors(spark.createDataFrame([], "vec_id long, embedding array<double>")).count() == 0
 
 
+def test_vectors_of_shared_ids(spark):
+    x, y = [1.0, 0.0, 0.0, 0.0], [0.0, 1.0, 0.0, 0.0]
+    rows = [(1, x), (1, y), (2, [1.0, 0.1, 0.0, 0.0]), (3, [0.1, 1.0, 0.0, 0.0]), (4, [0.1, 1.0, 0.1, 0.0])]
+    found = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in near_duplicate_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect())
+    assert found == [(1, 1, 1, True), (1, 2, 1, True), (2, 1, 1, False), (3, 2, 1, False), (4, 2, 1, False)]
+
+
 @pytest.mark.parametrize(("n", "dim"), [(1_000_000, 64), (100_000_000, 64), (4_000_000, 32)])
 def test_recall_at_every_size(n, dim):
     tables, hashes = plan(n, dim, 0.9)

@@ -7,8 +7,8 @@ Equal passages are one class; confirmed pairs of classes are clustered into comp
 its first occurrence, by document id and place.  Every other occurrence is a repeat; repeats in a row are joined
 and extended, word by word, as far as they equal what is kept.
 
-Copies within one slice of input are joined there, so a passage that most documents share reaches the shuffle
-once a slice; in a bucket every passage is compared with the first and with the one before it.  Where that leaves
+Copies within one slice of input are joined there, and a task remembers what it has sent, so a passage that most
+documents share reaches the shuffle once a task; in a bucket every passage is compared with the first and with the one before it.  Where that leaves
 several components in a bucket, its lines go through an exact prefix-filtered join across components.
 """
 
@@ -20,7 +20,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -34,9 +34,12 @@ MIN_WORDS, SHINGLE, PERCENT = 50, 5, 80
 RUN = 32
 #: With 6 bands of 2 rows a pair of similarity 0.8 meets with a chance of 0.998, one of 0.9 with 0.99995.
 BANDS, ROWS = 6, 2
-#: Bytes on each side of a repeat within which it is extended; winnowing leaves fewer than MIN_WORDS - RUN + 1 words.
-CONTEXT = 1024
-OWN = ["e", "doc", "start", "end", "wa", "wb"]
+#: Bytes on each side of a repeat within which it is extended at first, and how much wider the next try is where they hold
+#: too few words: winnowing leaves fewer than MIN_WORDS - RUN + 1 of them.
+CONTEXT, WIDER = 1024, 64
+#: Passages that a task remembers as seen in an earlier slice; forgetting one costs a row, never a result.
+SEEN = 1 << 18
+OWN = ["e", "doc", "sub", "start", "end", "wa", "wb"]
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -79,19 +82,20 @@ def passages(texts: list[bytes], min_words: int = MIN_WORDS, run: int = RUN) ->
     return owner[at], at, to, is_line, hashes, offsets, starts, ends
 
 
-def _listed(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
-    """Every passage: doc, bytes start to end, words wa to wb, content hash e, band hashes of lines, whether the slice holds an equal one (repeated), and whether it is the slice's first of its content (fresh)."""
+def _listed(docs: DataFrame, min_words: int) -> DataFrame:
+    """Every passage: doc and sub, bytes start to end, words wa to wb, content hash e, band hashes of lines, whether the task holds an equal one (repeated), and whether it is the first of its content that the task sends (fresh)."""
 
     @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent: dict[int, None] = {}
         for part in slices(batches, "text"):
-            owner, at, to, is_line, hashes, offsets, starts, ends = passages([t or b"" for t in part.column(1).to_pylist()], min_words)
+            owner, at, to, is_line, hashes, offsets, starts, ends = passages([t or b"" for t in part.column(2).to_pylist()], min_words)
             if not len(owner):
                 continue
             e = range_hashes(hashes, at, to)
-            ids = part.column(0).to_numpy()[owner]
-            order = np.lexsort((starts[at], ids, e))
-            owner, at, to, is_line, e, ids = (x[order] for x in (owner, at, to, is_line, e, ids))
+            ids, subs = (part.column(i).to_numpy()[owner] for i in (0, 1))
+            order = np.lexsort((starts[at], subs, ids, e))
+            owner, at, to, is_line, e, ids, subs = (x[order] for x in (owner, at, to, is_line, e, ids, subs))
             new = np.concatenate([[True], e[1:] != e[:-1]])
             group = np.cumsum(new) - 1
             repeated = np.bincount(group)[group] > 1
@@ -101,16 +105,32 @@ def _listed(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> Data
                 signed = minhash(shingle_hashes(hashes[at[i] : to[i]], SHINGLE), BANDS * ROWS).astype(np.uint64).reshape(BANDS, ROWS)
                 bands[i] = (mix(signed[:, 0] << np.uint64(32) | signed[:, 1]) + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
             places = [starts[at], ends[to - 1], at - offsets[owner], to - offsets[owner]]
-            columns = [pa.array(e.view(np.int64)), pa.array(ids), *(pa.array(x.astype(np.int32)) for x in places), pa.array(bands, pa.list_(pa.int64())), pa.array(repeated), pa.array(new)]
+            known = np.fromiter((x in sent for x in e[new].tolist()), bool, int(new.sum()))
+            for x in e[new & repeated].tolist():
+                sent[x] = None
+            while len(sent) > SEEN:
+                del sent[next(iter(sent))]
+            repeated, new = repeated | known[group], new & ~known[group]
+            columns = [pa.array(e.view(np.int64)), pa.array(ids), pa.array(subs), *(pa.array(x.astype(np.int32)) for x in places), pa.array(bands, pa.list_(pa.int64())), pa.array(repeated), pa.array(new)]
             yield pa.RecordBatch.from_arrays(columns, [*OWN, "bands", "repeated", "fresh"])
 
-    rows = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("binary").alias("text"))
-    return rows.mapInArrow(run, "e long, doc long, start int, end int, wa int, wb int, bands array<long>, repeated boolean, fresh boolean")
+    return docs.mapInArrow(run, "e long, doc long, sub long, start int, end int, wa int, wb int, bands array<long>, repeated boolean, fresh boolean")
+
+
+def told_apart(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Column]:
+    """(doc, sub, text) of rows with an id, and the expression of sub: texts that share an id have hashes of their own there.
+
+    Where no id is shared, sub is 0 throughout and costs next to nothing on the way.
+    """
+    ids = docs.filter(F.col(id_col).isNotNull())
+    shared = not ids.groupBy(id_col).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty()
+    sub = F.xxhash64(F.col(text_col).cast("string")) if shared else F.lit(0).cast("long")
+    return ids.select(F.col(id_col).cast("long").alias("doc"), sub.alias("sub"), F.col(text_col).cast("binary").alias("text")), sub
 
 
 def _cut(wanted: DataFrame, texts: DataFrame) -> DataFrame:
-    """(e, t): the passages wanted (e, doc, start, end), as they stand in texts."""
-    return materialize(texts.join(wanted, "doc").select("e", F.substring("text", F.col("start") + 1, F.col("end") - F.col("start")).alias("t")).dropDuplicates(["e"]), "paragraph-lines")
+    """(e, t): the passages wanted (e, doc, sub, start, end), as they stand in texts."""
+    return materialize(texts.join(wanted, ["doc", "sub"]).select("e", F.substring("text", F.col("start") + 1, F.col("end") - F.col("start")).alias("t")).dropDuplicates(["e"]), "paragraph-lines")
 
 
 def _confirmed(named: DataFrame, cut: DataFrame, percent: int) -> DataFrame:
@@ -133,10 +153,10 @@ def _confirmed(named: DataFrame, cut: DataFrame, percent: int) -> DataFrame:
 
 def _across(lines: DataFrame, tested: DataFrame, texts: DataFrame, components: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between the components that lines of one band bucket are still in, by an exact join; none of the pairs in tested."""
-    classes = lines.groupBy("e").agg(F.min(F.struct("doc", "start", "end")).alias("w"), F.first("bands").alias("bands"))
+    classes = lines.groupBy("e").agg(F.min(F.struct("doc", "sub", "start", "end")).alias("w"), F.first("bands").alias("bands"))
     placed = classes.join(components, F.col("e") == F.col("node"), "left").select("e", "w", F.explode("bands").alias("key"), F.coalesce("component", "e").alias("component"))
     placed = materialize(placed, "paragraph-members")
-    split = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("key")
+    split = materialize(placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("key"), "paragraph-split")
     open_ = materialize(placed.join(split, "key", "left_semi").select("e", "w", "component").distinct(), "paragraph-open")
     if open_.isEmpty():
         return tested.limit(0)
@@ -146,121 +166,143 @@ def _across(lines: DataFrame, tested: DataFrame, texts: DataFrame, components: D
     return materialize(_confirmed(pairs.join(seen, ["a", "b"], "left_anti"), cut, percent), "paragraph-links")
 
 
+PLACE = ["doc", "sub", "fdoc", "fsub"]
+
+
 def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Repeats of one document and one first document, joined where they touch: where the joined one starts and ends in both, and where the first one's kept occurrence ends (stop)."""
-    names = ["doc", "fdoc", "start", "end", "wa", "wb", "fstart", "fend", "stop"]
+    names = [*PLACE, "start", "end", "wa", "wb", "fstart", "fend", "stop"]
     for batch in batches:
         out: list[list[int]] = []
-        for doc, fdoc, spans in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for *place, spans in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             at = len(out)
             for s in spans:
-                if len(out) > at and s["wa"] <= out[-1][5]:
-                    if s["wb"] > out[-1][5]:
-                        out[-1][3], out[-1][5], out[-1][7] = s["end"], s["wb"], s["fend"]
+                if len(out) > at and s["wa"] <= out[-1][7]:
+                    if s["wb"] > out[-1][7]:
+                        out[-1][5], out[-1][7], out[-1][9] = s["end"], s["wb"], s["fend"]
                 else:
-                    out.append([doc, fdoc, s["start"], s["end"], s["wa"], s["wb"], s["fstart"], s["fend"], s["fend"]])
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.int64() if i < 2 else pa.int32()) for i in range(9)], names)
+                    out.append([*place, s["start"], s["end"], s["wa"], s["wb"], s["fstart"], s["fend"], s["fend"]])
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.int64() if i < 4 else pa.int32()) for i in range(11)], names)
 
 
-def equal_left(x: bytes, y: bytes) -> tuple[int, int]:
-    """(words, bytes) by which two contexts agree backwards from their ends; a first word that may be cut is not used."""
-    a, b = (list(_WORD.finditer(t.translate(_LOWER)))[1 if len(t) >= CONTEXT else 0 :] for t in (x, y))
+def equal_left(x: bytes, y: bytes, whole: bool = True) -> tuple[int, int]:
+    """(words, bytes) by which two contexts agree backwards from their ends; unless they are whole, a first word may be cut and is not used."""
+    a, b = (list(_WORD.finditer(t.translate(_LOWER)))[0 if whole else 1 :] for t in (x, y))
     n = 0
     while n < min(len(a), len(b)) and a[-1 - n][0] == b[-1 - n][0]:
         n += 1
     return n, len(x) - a[-n].start() if n else 0
 
 
-def equal_right(x: bytes, y: bytes) -> tuple[int, int]:
-    """(words, bytes) by which two contexts agree forwards; a last word that may be cut is not used."""
-    a, b = (list(_WORD.finditer(t.translate(_LOWER)))[: -1 if len(t) >= CONTEXT else None] for t in (x, y))
+def equal_right(x: bytes, y: bytes, whole: bool = True) -> tuple[int, int]:
+    """(words, bytes) by which two contexts agree forwards; unless they are whole, a last word may be cut and is not used."""
+    a, b = (list(_WORD.finditer(t.translate(_LOWER)))[: None if whole else -1] for t in (x, y))
     n = 0
     while n < min(len(a), len(b)) and a[n][0] == b[n][0]:
         n += 1
     return n, a[n - 1].end() if n else 0
 
 
-def _extended(joined: DataFrame, texts: DataFrame) -> DataFrame:
-    """Joined repeats (doc, start, end, wa, wb, fdoc), extended as far as they equal what is kept.
+def _extended(joined: DataFrame, texts: DataFrame, enough: int) -> DataFrame:
+    """Joined repeats (doc, sub, start, end, wa, wb, fdoc), extended as far as they equal what is kept, by `enough` words at least.
 
-    Within one document the left context ends at the kept occurrence, and the kept one's right context at the
-    extended repeat; where repeats that touch reach over their own kept occurrences, the text goes on equal to
-    itself and the right context is as it is.
+    Contexts are some bytes wide; where one ends before `enough` words were compared and all of them agree, the
+    repeat is tried again with contexts WIDER times as wide, which few are.  Within one document the left context
+    ends at the kept occurrence, and the kept one's right context at the extended repeat; where repeats that touch
+    reach over their own kept occurrences, the text goes on equal to itself and the right context is as it is.
     """
-    around = lambda s, e: (F.substring("text", F.greatest(F.col(s) + 1 - CONTEXT, F.lit(1)), F.least(F.col(s), F.lit(CONTEXT))), F.substring("text", F.col(e) + 1, CONTEXT))
+    columns = [*PLACE, "start", "end", "wa", "wb", "fstart", "fend", "stop"]
+    done, width, left_over = None, CONTEXT, joined
+    while True:
+        found = materialize(_tried(left_over, texts, width, enough, columns), "paragraph-extended")
+        good = found.filter("settled").select("doc", "sub", "start", "end", "wa", "wb", "fdoc")
+        done = good if done is None else done.unionAll(good)
+        left_over = found.filter("not settled").select(*columns)
+        if left_over.isEmpty():
+            return done
+        width *= WIDER
+
+
+def _tried(joined: DataFrame, texts: DataFrame, width: int, enough: int, columns: list[str]) -> DataFrame:
+    around = lambda s, e: (F.substring("text", F.greatest(F.col(s) + 1 - width, F.lit(1)), F.least(F.col(s), F.lit(width))), F.substring("text", F.col(e) + 1, width))
     left, right = around("start", "end")
-    own = joined.join(texts, "doc").withColumn("left", left).withColumn("right", right).drop("text")
+    own = joined.join(texts, ["doc", "sub"]).withColumn("left", left).withColumn("right", right).drop("text")
     left, right = around("fstart", "fend")
-    both = own.join(texts.withColumnRenamed("doc", "fdoc"), "fdoc").withColumn("fleft", left).withColumn("fright", right)
-    both = both.select("doc", "start", "end", "wa", "wb", "fdoc", "left", "fleft", "right", "fright", "fend", "stop")
-    schema = pa.schema([("doc", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("wa", pa.int32()), ("wb", pa.int32()), ("fdoc", pa.int64())])
+    both = own.join(texts.withColumnRenamed("doc", "fdoc").withColumnRenamed("sub", "fsub"), ["fdoc", "fsub"]).withColumn("fleft", left).withColumn("fright", right)
+    both = both.select(*columns, "left", "fleft", "right", "fright")
+    schema = pa.schema([*((c, pa.int64() if c in PLACE else pa.int32()) for c in columns), ("settled", pa.bool_())])
 
     @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for doc, start, end, wa, wb, fdoc, left, fleft, right, fright, fend, stop in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                # a context of CONTEXT bytes may cut a word, one that stops at the other occurrence does not
-                if doc == fdoc:
+            for doc, sub, fdoc, fsub, start, end, wa, wb, fstart, fend, stop, left, fleft, right, fright in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                ends = [start <= width and fstart <= width, len(right) < width and len(fright) < width]
+                # a context of `width` bytes may cut a word, one that stops at the other occurrence does not
+                if (doc, sub) == (fdoc, fsub):
                     left = left[max(0, len(left) - (start - stop)) :]
-                more, before = equal_left(left, fleft)
-                if doc == fdoc and fend <= start:
+                more, before = equal_left(left, fleft, ends[0])
+                if (doc, sub) == (fdoc, fsub) and fend <= start:
                     fright = fright[: max(0, start - before - fend)]
-                yet, after = equal_right(right, fright)
-                out.append((doc, start - before, end + after, wa - more, wb + yet, fdoc))
+                yet, after = equal_right(right, fright, ends[1])
+                seen = [n < enough and not end and n + 1 >= min(len(_WORD.findall(x)), len(_WORD.findall(y))) for n, end, x, y in ((more, ends[0], left, fleft), (yet, ends[1], right, fright))]
+                if any(seen):
+                    out.append((doc, sub, fdoc, fsub, start, end, wa, wb, fstart, fend, stop, False))
+                else:
+                    out.append((doc, sub, fdoc, fsub, start - before, end + after, wa - more, wb + yet, fstart, fend, stop, True))
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], f.type) for i, f in enumerate(schema)], schema.names)
 
-    return both.mapInArrow(run, "doc long, start int, end int, wa int, wb int, fdoc long")
+    return both.mapInArrow(run, ", ".join(f"{c} {'long' if c in PLACE else 'int'}" for c in columns) + ", settled boolean")
 
 
 def _merged(extended: DataFrame, min_words: int) -> DataFrame:
-    """Ranges of one document that touch as one (doc_id, start, end, first_doc_id), of at least min_words words."""
-    schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("first_doc_id", pa.int64())])
+    """Ranges of one document that touch as one (doc_id, sub, start, end, first_doc_id), of at least min_words words."""
+    schema = pa.schema([("doc_id", pa.int64()), ("sub", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("first_doc_id", pa.int64())])
 
     @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
-            for doc, spans in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for doc, sub, spans in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 start, end, wa, wb, first = spans[0].values()
                 for s in [*spans[1:], None]:
                     if s and s["wa"] <= wb:
                         end, wb, first = max(end, s["end"]), max(wb, s["wb"]), min(first, s["fdoc"])
                     else:
                         if wb - wa >= min_words:
-                            out.append((doc, start, end, first))
+                            out.append((doc, sub, start, end, first))
                         if s:
                             start, end, wa, wb, first = s.values()
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], f.type) for i, f in enumerate(schema)], schema.names)
 
-    grouped = extended.groupBy("doc").agg(F.array_sort(F.collect_set(F.struct("start", "end", "wa", "wb", "fdoc"))).alias("spans"))
-    return grouped.mapInArrow(run, "doc_id long, start int, end int, first_doc_id long")
+    grouped = extended.groupBy("doc", "sub").agg(F.array_sort(F.collect_set(F.struct("start", "end", "wa", "wb", "fdoc"))).alias("spans"))
+    return grouped.mapInArrow(run, "doc_id long, sub long, start int, end int, first_doc_id long")
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, percent: int = PERCENT) -> DataFrame:
-    """Rows (doc_id, start, end, first_doc_id): byte ranges of texts that repeat a passage kept in first_doc_id.
+    """Rows (doc_id, sub, start, end, first_doc_id): byte ranges of texts that repeat a passage kept in first_doc_id.
 
     Words differ by more than the case of A-Z.  The first occurrence of a component, by id and place, is never
     listed, nor is a passage that overlaps it in the same document.  Null and empty texts and texts of fewer than
-    `min_words` words have no passage; rows with a null id are left alone; rows that share an id count as one
-    document, of which any row's text serves.  Ranges of one document that touch are one row with the least
+    `min_words` words have no passage; rows with a null id are left alone.  Rows that share an id are documents of
+    their own if their texts differ, told apart by sub, and one document if not.  Ranges of one document that touch are one row with the least
     first_doc_id, and a row has at least `min_words` words.
     """
-    listed = materialize(_listed(docs, id_col, text_col, min_words), "paragraphs")
+    rows, _ = told_apart(docs, id_col, text_col)
+    listed = materialize(_listed(rows, min_words), "paragraphs")
     keys = F.explode(F.when(F.col("bands").isNull(), F.array("e")).otherwise(F.concat(F.array("e"), "bands")))
     keyed = listed.filter("fresh").select(keys.alias("key"), *OWN)
-    group = Window.partitionBy("key").orderBy("doc", "start", "end", "e")
+    group = Window.partitionBy("key").orderBy("doc", "sub", "start", "end", "e")
     place = F.struct(*OWN)
     met = keyed.withColumn("p", F.first(place).over(group.rowsBetween(Window.unboundedPreceding, 0))).withColumn("q", F.lag(place).over(group)).filter("q is not null")
     other = F.explode(F.when((F.col("p") == F.col("q")) | (F.col("p.e") == F.col("e")), F.array("p")).otherwise(F.array("p", "q")))
     met = materialize(met.withColumn("other", other).select(*OWN, *[F.col(f"other.{c}").alias(f"p{c}") for c in OWN]), "paragraph-pairs")
     equal, near = met.filter("e = pe"), met.filter("e <> pe").distinct()
-    involved = met.select("doc").unionAll(met.select(F.col("pdoc").alias("doc"))).unionAll(listed.filter("repeated").select("doc")).distinct()
-    # the only time that whole texts are shuffled
-    rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("binary").alias("text"))
-    texts = materialize(rows.join(involved, "doc", "left_semi"), "paragraph-texts")
-    sides = [near.select(*[F.col(f"{p}{c}").alias(c) for c in OWN[:4]]) for p in ("", "p")]
-    wanted = sides[0].unionAll(sides[1]).groupBy("e").agg(F.min(F.struct(*OWN[1:4])).alias("w")).select("e", "w.*")
+    involved = met.select("doc", "sub").unionAll(met.select("pdoc", "psub")).unionAll(listed.filter("repeated").select("doc", "sub")).distinct()
+    # the only time that whole texts are shuffled; repeated rows are one
+    texts = materialize(_once(rows.join(involved, ["doc", "sub"], "left_semi")), "paragraph-texts")
+    sides = [near.select(*[F.col(f"{p}{c}").alias(c) for c in OWN[:5]]) for p in ("", "p")]
+    wanted = sides[0].unionAll(sides[1]).groupBy("e").agg(F.min(F.struct(*OWN[1:5])).alias("w")).select("e", "w.*")
     tested = near.select(F.col("e").alias("a"), F.col("pe").alias("b")).distinct()
     links = materialize(_confirmed(tested, _cut(wanted, texts), percent), "paragraph-links")
     components = materialize(connected_components(links), "paragraph-components")
@@ -274,22 +316,40 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     found = [equal.select(*OWN), equal.select(*firsts_of), linked.select(*OWN), linked.select(*firsts_of), listed.filter("repeated").select(*OWN), late]
     occurrences = reduce(DataFrame.unionAll, found).distinct()
     placed = materialize(occurrences.join(components, F.col("e") == F.col("node"), "left").select(F.coalesce("component", "e").alias("c"), *OWN[1:]), "paragraph-occurrences")
-    firsts = placed.groupBy("c").agg(F.min(F.struct("doc", "start", "end")).alias("f")).select("c", F.col("f.doc").alias("fdoc"), F.col("f.start").alias("fstart"), F.col("f.end").alias("fend"))
+    firsts = placed.groupBy("c").agg(F.min(F.struct("doc", "sub", "start", "end")).alias("f")).select("c", *[F.col(f"f.{c}").alias(f"f{c}") for c in ("doc", "sub", "start", "end")])
     firsts = materialize(firsts, "paragraph-firsts")  # written first, so that the join stands alone and a component of any size can be split
-    extra = placed.join(firsts, "c").filter("doc <> fdoc or start >= fend")
-    spans = extra.groupBy("doc", "fdoc").agg(F.array_sort(F.collect_set(F.struct("wa", "wb", "start", "end", "fstart", "fend"))).alias("spans"))
-    joined = spans.mapInArrow(_joined, "doc long, fdoc long, start int, end int, wa int, wb int, fstart int, fend int, stop int")
-    return _merged(_extended(materialize(joined, "paragraph-joined"), texts), min_words)
+    extra = placed.join(firsts, "c").filter("doc <> fdoc or sub <> fsub or start >= fend")
+    spans = extra.groupBy(*PLACE).agg(F.array_sort(F.collect_set(F.struct("wa", "wb", "start", "end", "fstart", "fend"))).alias("spans"))
+    joined = spans.mapInArrow(_joined, "doc long, sub long, fdoc long, fsub long, start int, end int, wa int, wb int, fstart int, fend int, stop int")
+    return _merged(_extended(materialize(joined, "paragraph-joined"), texts, min_words - RUN + 1), min_words)
+
+
+def _once(texts: DataFrame) -> DataFrame:
+    """Texts without rows that repeat the one before; a join leaves equal keys side by side."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for batch in batches:
+            key = np.stack([batch.column(i).to_numpy() for i in (0, 1)], axis=1)
+            new = np.ones(len(key), bool)
+            new[1:] = (key[1:] != key[:-1]).any(axis=1)
+            if len(key):
+                new[0] = last is None or (key[0] != last).any()
+                last = key[-1]
+            yield batch.filter(pa.array(new))
+
+    return texts.sortWithinPartitions("doc", "sub").select("doc", "sub", "text").mapInArrow(run, "doc long, sub long, text binary")
 
 
 def remove_passages(docs: DataFrame, repeats: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Docs with the byte ranges of repeats cut out of their texts, in docs' columns.
 
     Texts without a range are unchanged, null and empty ones too; a text of which only white space is left is
-    dropped with its row.  All rows that share an id are cut alike.
+    dropped with its row.  Rows that share an id and a text are cut alike.
     """
-    cuts = repeats.groupBy(F.col("doc_id").alias("__id")).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("__cuts"))
-    joined = docs.join(cuts, F.col(id_col).cast("long") == F.col("__id"), "left")
+    _, sub = told_apart(docs, id_col, text_col)
+    cuts = repeats.groupBy(F.col("doc_id").alias("__id"), F.col("sub").alias("__sub")).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("__cuts"))
+    joined = docs.join(cuts, (F.col(id_col).cast("long") == F.col("__id")) & (sub == F.col("__sub")), "left")
     raw = F.col(text_col).cast("binary")
     ends = F.concat(F.transform("__cuts", lambda c: c["start"]), F.array(F.octet_length(text_col)))
     begins = F.concat(F.array(F.lit(0)), F.transform("__cuts", lambda c: c["end"]))

@@ -14,7 +14,7 @@ from pyspark.sql.window import Window
 #: The band of inverse document frequency, as document shares: terms in fewer or more documents are dropped.
 LOW_SHARE, HIGH_SHARE = 0.01, 0.25
 #: A subset keeps one term in so many.  All subsets of the first sparsity are used, so that every term of the lexicon is in one; there are PER_SPARSITY of each other.
-SPARSITIES, PER_SPARSITY = (32, 64, 128, 256), 8
+SPARSITIES, PER_SPARSITY = (32, 128), 8
 SUBSETS = [(i, r) for i, s in enumerate(SPARSITIES) for r in range(PER_SPARSITY if i else s)]
 #: Hash cells of the first counting pass.
 CELLS = 1 << 16
@@ -26,14 +26,14 @@ def terms_of(text: Column) -> Column:
     return F.split(F.lower(text), r"[^\p{L}\p{N}]+")
 
 
-def band_lexicon(texts: DataFrame, text_col: str, low: float = LOW_SHARE, high: float = HIGH_SHARE) -> list[str]:
+def band_lexicon(texts: DataFrame, text_col: str, low: float = LOW_SHARE, high: float = HIGH_SHARE, total: int | None = None) -> list[str]:
     """Terms whose document frequency, over all rows, lies within the band; sorted.
 
     Two passes keep the shuffle small and the counts exact: the first counts (document, term) pairs by hash cell,
     and only cells that reach the floor can hold a term that does; the second counts the terms of those cells.
-    At most 1/low times the mean number of distinct terms of a document come back.
+    At most 1/low times the mean number of distinct terms of a document come back.  total is the number of rows, if known.
     """
-    total = texts.count()
+    total = texts.count() if total is None else total
     floor = max(2.0, low * total)
     pairs = texts.select(F.explode(F.array_distinct(terms_of(F.col(text_col)))).alias("term")).filter("term != ''")
     cell = F.pmod(F.xxhash64(F.lit(SEED), "term"), F.lit(CELLS)).cast("int")

@@ -47,11 +47,11 @@ def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Toxicity of every whole text; labels of fold 0 are held out."""
+    """Toxicity of every whole text, and its offending sentences; labels of fold 0 are held out."""
     docs = documents(spark, sf_dir)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(fold() != 0)
     found = score_toxicity(docs.select("doc_id", "text"), fit_toxicity(docs, labels))
-    return found.select("doc_id", (fold() == 0).alias("held_out"), F.col("toxicity").alias("score"), (F.col("toxicity") >= 0.5).cast("int").alias("predicted"))
+    return found.select("doc_id", (fold() == 0).alias("held_out"), F.col("toxicity").alias("score"), (F.col("toxicity") >= 0.5).cast("int").alias("predicted"), "offending")
 
 
 def op6_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,9 +64,10 @@ def op6_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every whole text and of its edited text, whose last quarter comes from the next document."""
     docs = documents(spark, sf_dir).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    lexicon = band_lexicon(docs, "text")
+    total = docs.count()
+    lexicon = band_lexicon(docs, "text", total=total)
     printed = docs.withColumn("fingerprint", fingerprint_of(F.col("text"), lexicon))
-    n_ranges = min(1 << 16, max(128, docs.count() // 1024))
+    n_ranges = min(1 << 16, max(128, total // 1024))
     rows = with_next(printed, "doc_id", ["text", "fingerprint"], n_ranges).withColumn("n_chars", F.char_length("text").cast("long"))
     cut = F.floor(F.col("n_chars") / 4).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), F.col("n_chars").cast("int") - cut), F.substring("next_text", F.lit(1), cut))

@@ -23,36 +23,42 @@ BUCKET_BYTES, LEAST_BUCKETS = 16 << 20, 256
 
 
 def _scatter(id_col: str, text_col: str, seed: int) -> Column:
-    """The seeded hash that scatters: of the id, or of the text where there is none."""
-    return F.when(F.col(id_col).isNotNull(), F.xxhash64(F.lit(seed), F.col(id_col))).otherwise(F.xxhash64(F.lit(seed + 1), F.col(text_col)))
+    """The seeded hash that scatters, of id and text: an id that many texts share is no hot bucket."""
+    return F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col), F.col(text_col).isNull(), F.col(id_col).isNull())
 
 
 def shuffle_into_shards(docs: DataFrame, n_shards: int, id_col: str = "doc_id", text_col: str = "text", seed: int = 17, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """All columns of docs plus shard (int, from 0) and slot (long, gapless from 0 in each shard).
 
     Shards' row counts are at most one apart.  The order depends on seed, ids and the number of buckets only,
-    not on partitioning.  Null texts are kept; rows with equal ids fall into one bucket and are ordered by text;
-    rows with a null id are scattered by their text.  An empty table gives an empty result.  Input columns named
-    shard or slot are replaced.  Text moves through one shuffle; bucket sizes come from a scan before it.
+    not on partitioning.  Null ids and texts are kept and scatter as values of their own.  Rows with equal ids and
+    texts fall into one bucket, where any order serves; if they are more than a bucket's share of all rows, they
+    are dealt over all buckets by their place in the input.  An empty table gives an empty result.  Input columns
+    named shard or slot are replaced.  Text moves through one shuffle; bucket sizes come from a scan before it.
     """
     docs = docs.drop("shard", "slot")
-    total = docs.agg(F.sum(F.octet_length(text_col)).alias("b")).first()["b"] or 0
-    n_buckets = partitions_for(total, bucket_bytes, LEAST_BUCKETS)
-    bucket = F.pmod(_scatter(id_col, text_col, seed), F.lit(n_buckets)).cast("int")
+    sizes = docs.agg(F.sum(F.octet_length(text_col)).alias("b"), F.count(F.lit(1)).alias("n")).first()
+    n_buckets = partitions_for(sizes["b"] or 0, bucket_bytes, LEAST_BUCKETS)
+    # rows that are more than one bucket's share: fewer than there are buckets
+    scattered = _scatter(id_col, text_col, seed)
+    hot = [r["h"] for r in docs.groupBy(scattered.alias("h")).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > max(64, sizes["n"] // n_buckets)).select("h").collect()]
+    if hot:
+        scattered = F.when(scattered.isin(hot), F.xxhash64(F.lit(seed + 1), scattered, F.monotonically_increasing_id())).otherwise(scattered)
+    bucket = F.pmod(scattered, F.lit(n_buckets)).cast("int")
     counts = docs.select(bucket.alias("__bucket")).groupBy("__bucket").count()
     before = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("__bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__offset"), F.sum("count").over(Window.partitionBy()).alias("__total"))
-    rows = docs.withColumn("__hash", _scatter(id_col, text_col, seed)).withColumn("__bucket", F.pmod("__hash", F.lit(n_buckets)).cast("int")).join(offsets, "__bucket")
     keep = docs.columns
+    rows = docs.select(F.struct(*keep).alias("kept"), F.col(text_col).alias("tie"), scattered.alias("hash")).withColumn("__bucket", F.pmod("hash", F.lit(n_buckets)).cast("int")).join(offsets, "__bucket")
 
     def shuffle(table: pa.Table) -> pa.Table:
-        base = {"hash": table["__hash"], "tie": pc.fill_null(table[text_col].cast(pa.large_binary()), b"")}
+        base = {"hash": table["hash"], "tie": pc.fill_null(table["tie"].cast(pa.large_binary()), b"")}
         order = pc.sort_indices(pa.table(base), sort_keys=[("hash", "ascending"), ("tie", "ascending")]).to_numpy()
         number, offset, total = (table[c][0].as_py() for c in ("__bucket", "__offset", "__total"))
         dealt = order[np.random.Generator(np.random.PCG64([seed, number])).permutation(table.num_rows)]  # Fisher-Yates
         place = offset + np.arange(table.num_rows, dtype=np.int64)
         shard = ((place + 1) * n_shards - 1) // total
-        return table.select(keep).take(pa.array(dealt)).append_column("shard", pa.array(shard.astype(np.int32))).append_column("slot", pa.array(place - shard * total // n_shards))
+        return pa.Table.from_arrays(table["kept"].combine_chunks().flatten(), keep).take(pa.array(dealt)).append_column("shard", pa.array(shard.astype(np.int32))).append_column("slot", pa.array(place - shard * total // n_shards))
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     return rows.groupBy("__bucket").applyInArrow(shuffle, f"{schema}, shard int, slot long")

@@ -39,21 +39,26 @@ def fit_budget(sizes: Sequence[int], counts: Sequence[int], budget: int, exact:
             more = min(counts[i] - take[i], max(0, rest - exact) // sizes[i])
             take[i] += more
             rest -= more * sizes[i]
-    reach, full, items, goal = 1, (1 << rest + 1) - 1, [], 1 << rest
+    # each sum keeps the item that first reached it, so memory is that of the sums, whatever the number of items
+    reach, full, goal = 1, (1 << rest + 1) - 1, 1 << rest
+    by_size, by_step = np.zeros(rest + 1, np.int64), np.zeros(rest + 1, np.int64)
     for i in sorted(range(len(sizes)), key=lambda i: sizes[i]):
         left, step = counts[i] - take[i], 1
         while left > 0 and 0 < sizes[i] <= rest and not reach & goal:
             step = min(step, left)
-            items.append((i, step, reach))
-            reach |= reach << step * sizes[i] & full
+            new = (reach << step * sizes[i]) & full & ~reach
+            if new:
+                sums = np.flatnonzero(np.unpackbits(np.frombuffer(new.to_bytes(rest // 8 + 1, "little"), np.uint8), bitorder="little"))
+                by_size[sums], by_step[sums] = i, step
+                reach |= new
             left, step = left - step, step * 2
         if reach & goal:
             break
     at = reach.bit_length() - 1
-    for i, step, earlier in reversed(items):
-        if not earlier >> at & 1:
-            take[i] += step
-            at -= step * sizes[i]
+    while at:
+        i, step = int(by_size[at]), int(by_step[at])
+        take[i] += step
+        at -= step * sizes[i]
     return take
 
 

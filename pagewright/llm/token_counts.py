@@ -91,7 +91,7 @@ def count_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 for piece in cut(text or ""):
                     held.append(piece)
                     owner.append(i)
-                    size += len(piece)
+                    size += len(piece.encode("utf-8", "surrogatepass"))
                     if size >= BATCH_BYTES:
                         flush(held, owner, counts)
                         held, owner, size = [], [], 0

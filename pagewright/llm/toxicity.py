@@ -47,8 +47,12 @@ def log_odds_g2(toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int
     return np.where(a / max(n_toxic, 1) >= b / max(n_clean, 1), g2, -g2)
 
 
-def train(texts: list[str], labels: list[int]) -> dict[str, float]:
-    """Weights by feature; `bias` and `leak` under their own names.  Empty without both classes."""
+def train(texts: list[str], labels: list[int], shares: tuple[float, float] | None = None) -> dict[str, float]:
+    """Weights by feature; `bias` and `leak` under their own names.  Empty without both classes.
+
+    shares are those of clean and toxic among all labelled documents, where texts are a sample of other shares:
+    a document weighs its class's share over its share here, so bias and leak do not depend on the sample's size.
+    """
     y = np.array(labels, np.int8)
     if not len(y) or y.min() == y.max():
         return {"bias": -10.0, "leak": float(min(0.4, y.mean())) if len(y) else 0.0}
@@ -92,6 +96,7 @@ def train(texts: list[str], labels: list[int]) -> dict[str, float]:
                 n_sentences += 1
     row, col, doc = np.array(rows, np.int64), np.array(cols, np.int64), np.array(docs, np.int64)
     n, m = len(texts), len(names)
+    weight = np.ones(n) if shares is None else np.array([shares[v] / (y == v).mean() for v in (0, 1)])[y]
     w, b, leak = np.zeros(m), -2.0, -5.0
     first, second = np.zeros(m + 2), np.zeros(m + 2)
     rest = 1e-9
@@ -101,7 +106,7 @@ def train(texts: list[str], labels: list[int]) -> dict[str, float]:
         leaked = 1 / (1 + np.exp(-leak))
         clear = np.log1p(-leaked) + np.bincount(doc, np.log1p(-np.minimum(p, 1 - rest)), n)
         none = np.exp(clear)
-        pull = np.where(y == 1, -none / np.maximum(1 - none, 1e-6), 1.0)
+        pull = weight * np.where(y == 1, -none / np.maximum(1 - none, 1e-6), 1.0)
         g = pull[doc] * p
         grad = np.concatenate([np.bincount(col, g[row], m), [g.sum(), (pull * leaked).sum()]]) / n
         grad[:m] += RIDGE * w
@@ -114,18 +119,24 @@ def train(texts: list[str], labels: list[int]) -> dict[str, float]:
 def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", fit_docs: int = FIT_DOCS) -> dict[str, float]:
     """Train on at most `fit_docs` labelled documents of each class, in one executor task; returns at most `FEATURES` weights.
 
-    Labels that are null or whose document is missing are not used; of several labels of one id the highest counts.
+    Labels that are null or whose document is missing are not used; of several labels of one id the highest counts,
+    of several texts of one id the least.  Classes weigh as among all labels.
     """
     known = labels.select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("__y")).dropna().groupBy("__id").agg(F.max("__y").alias("__y"))
     order = F.xxhash64(F.lit(5), "__id")
+    counted = {r["__y"]: r["n"] for r in known.groupBy("__y").agg(F.count(F.lit(1)).alias("n")).filter("__y in (0, 1)").collect()}  # two rows
+    total = sum(counted.values())
+    shares = tuple(counted.get(v, 0) / total for v in (0, 1)) if len(counted) == 2 else None
     picked = [known.filter(F.col("__y") == v).orderBy(order, "__id").limit(fit_docs) for v in (0, 1)]
-    sample = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("text")).join(F.broadcast(picked[0].union(picked[1])), "__id")
+    sample = docs.select(F.col(id_col).alias("__id"), F.coalesce(text_col, F.lit("")).alias("text")).join(F.broadcast(picked[0].union(picked[1])), "__id")
+    # one text an id, reduced before it is dealt: an id that many rows share is one row of the sample
+    sample = sample.groupBy("__id").agg(F.min("text").alias("text"), F.max("__y").alias("__y"))
 
     @released
     def fit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = pd.concat([b.assign(text=b["text"].fillna("")) for b in batches] or [pd.DataFrame({"__id": [], "text": [], "__y": []})])
         rows = rows.sort_values(["__id", "text"])
-        model = train(rows["text"].tolist(), rows["__y"].tolist())
+        model = train(rows["text"].tolist(), rows["__y"].tolist(), shares)
         yield pd.DataFrame({"feature": list(model), "weight": list(model.values())})
 
     fitted = {r["feature"]: r["weight"] for r in sample.repartition(1).mapInPandas(fit, "feature string, weight double").collect()}

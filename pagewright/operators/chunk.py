@@ -76,24 +76,25 @@ def chunks(elements: DataFrame, budget: int = 1000, overlap: int = 150, hierarch
     for name in ("section_id", "page_num"):
         if name not in units.columns:
             units = units.withColumn(name, F.lit(None).cast("string" if name == "section_id" else "int"))
+    so_far = Window.partitionBy("doc_id").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
+    # every unit knows the last section met, so a chunk's is that of its last unit
+    units = units.withColumn("section_id", F.last(F.nullif(F.col("section_id"), F.lit("")), ignorenulls=True).over(so_far))
     whole = units.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("seq", "text", "page_num", "section_id", "tokens"))).alias("units"))
     started = whole.withColumn("starts", starts_of(F.transform("units", lambda u: u["tokens"])))
     parts = F.transform("starts", lambda s, i: F.slice("units", s, F.coalesce(F.get("starts", i + 1), F.size("units") + 1) - s))
     text_of = lambda part: F.array_join(F.transform(part, lambda u: u["text"]), "\n\n")
-    named = lambda part: F.filter(F.transform(part, lambda u: u["section_id"]), lambda x: F.coalesce(x, F.lit("")) != "")
-    last = lambda found: F.when(F.size(found) > 0, F.element_at(found, -1))
 
     def chunk(doc: Column, part: Column, i: Column) -> Column:
         return F.struct(
-            text_of(part).alias("text"),
+            F.get(doc["texts"], i).alias("text"),
             F.array_sort(F.array_distinct(F.filter(F.transform(part, lambda u: u["page_num"]), lambda p: F.coalesce(p, F.lit(0)) != 0))).alias("page_range"),
-            last(F.filter(F.slice(doc["sections"], F.lit(1), i + 1), lambda x: x.isNotNull())).alias("section_id"),
-            F.when(i == 0, F.lit("")).otherwise(tail(text_of(F.get(doc["parts"], i - 1)), overlap)).alias("prev_chunk_tail"),
+            F.element_at(part, -1)["section_id"].alias("section_id"),
+            F.when(i == 0, F.lit("")).otherwise(tail(F.get(doc["texts"], i - 1), overlap)).alias("prev_chunk_tail"),
             F.aggregate(F.transform(part, lambda u: u["tokens"]), F.lit(0).cast("long"), lambda total, n: total + n).alias("token_count"),
         )
 
     # a document's chunks are made in its row, from arrays bound once: neither texts nor tails need another shuffle
-    bound = F.array(F.struct(parts.alias("parts"), F.transform(parts, lambda part: last(named(part))).alias("sections")))
+    bound = F.array(F.struct(parts.alias("parts"), F.transform(parts, text_of).alias("texts")))
     made = F.get(F.transform(bound, lambda doc: F.transform(doc["parts"], lambda part, i: chunk(doc, part, i))), F.lit(0))
     found = started.select("doc_id", F.posexplode(made).alias("at", "chunk")).select("doc_id", (F.col("at") + 1).cast("long").alias("chunk_no"), "chunk.*")
     found = found.withColumn("chunk_id", F.format_string("chunk_%04d", F.col("chunk_no")))

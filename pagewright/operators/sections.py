@@ -6,8 +6,11 @@ Everything is keyed by doc_id.  Documents are rows (doc_id, title, page_count);
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ..functions.text import APPENDIX, CHAPTER, PART, roman_to_int, slugify, strip
@@ -93,24 +96,59 @@ def outline_sections(outline: DataFrame, documents: DataFrame) -> DataFrame:
     return _roots(documents).select(*SECTION).unionByName(ended.select(*SECTION))
 
 
-def heading_sections(headings: DataFrame, documents: DataFrame, levels: int = 12) -> DataFrame:
+@F.pandas_udf(T.ArrayType(T.IntegerType()))
+def _parents(levels: pd.Series) -> pd.Series:
+    """Of each level in order, the place of the last one before it that is less; null where there is none."""
+
+    def links(found: np.ndarray) -> list[int | None]:
+        out, open_ = [], []
+        for i, level in enumerate(found):
+            while open_ and found[open_[-1]] >= level:
+                open_.pop()
+            out.append(open_[-1] if open_ else None)
+            open_.append(i)
+        return out
+
+    return levels.map(links)
+
+
+@F.pandas_udf(T.ArrayType(T.IntegerType()))
+def _followers(levels: pd.Series) -> pd.Series:
+    """Of each level in order, the place of the first one after it that is not greater; null where there is none."""
+
+    def links(found: np.ndarray) -> list[int | None]:
+        out, open_ = [None] * len(found), []
+        for i, level in enumerate(found):
+            while open_ and found[open_[-1]] >= level:
+                out[open_.pop()] = i
+            open_.append(i)
+        return out
+
+    return levels.map(links)
+
+
+def heading_sections(headings: DataFrame, documents: DataFrame) -> DataFrame:
     """Sections from headings of any depth: a heading's parent is the last one before it of a lesser level, or the root.
 
-    Blank headings are left out; a missing level is 1.  `levels` is the number of levels told apart.
+    Blank headings are left out; a missing level is 1.  A document's headings meet in one row, in order, where one
+    pass with a stack links each to its parent and to the next heading of its level or a lesser one.
     """
     docs = documents.select("doc_id", F.col("title").alias("root_title"), "page_count")
     kept = headings.filter(F.coalesce(strip("title"), F.lit("")) != "").withColumn("level", F.coalesce(F.nullif(F.col("level"), F.lit(0)), F.lit(1)))
-    kinded = with_kind(kept.join(docs, "doc_id")).withColumns({"section_id": section_id(), "order": F.row_number().over(Window.partitionBy("doc_id").orderBy("ord"))})
-    earlier = Window.partitionBy("doc_id").orderBy("order").rowsBetween(Window.unboundedPreceding, -1)
-    lasts = [F.last(F.when(F.col("level") < n, F.struct("section_id", "title")), ignorenulls=True).over(earlier) for n in range(1, levels + 1)]
-    parent = F.element_at(F.array(*lasts), F.least(F.col("level"), F.lit(levels)))
-    sections = kinded.withColumns(
+    kinded = with_kind(kept.join(docs, "doc_id")).withColumns({"section_id": section_id(), "order": F.row_number().over(Window.partitionBy("doc_id").orderBy("ord")), "start_page": _clamped(F.nullif(F.col("page"), F.lit(0)))})
+    listed = kinded.groupBy("doc_id", "root_title", "page_count").agg(F.array_sort(F.collect_list(F.struct("order", "section_id", "title", "level", "kind", "start_page"))).alias("all"))
+    levels = F.transform("all", lambda s: s["level"])
+    linked = listed.withColumns({"parents": _parents(levels), "followers": _followers(levels)})
+    each = F.transform("all", lambda s, i: F.struct(s.alias("own"), F.get("all", F.get("parents", i)).alias("parent"), F.get("all", F.get("followers", i))["start_page"].alias("following")))
+    rows = linked.select("doc_id", "root_title", "page_count", F.explode(each).alias("s")).select("doc_id", "root_title", "page_count", "s.own.*", "s.parent", "s.following")
+    sections = rows.withColumns(
         {
-            "parent_id": F.coalesce(parent["section_id"], F.lit("document")), "parent_title": F.coalesce(parent["title"], F.col("root_title")), "start_page": _clamped(F.nullif(F.col("page"), F.lit(0))),
+            "parent_id": F.coalesce(F.col("parent")["section_id"], F.lit("document")), "parent_title": F.coalesce(F.col("parent")["title"], F.col("root_title")),
+            "end_page": F.when(F.col("following").isNull(), F.col("page_count")).otherwise(F.greatest(F.col("start_page"), F.col("following") - 1)),
             "source": F.lit("docling_heading"), "confidence": F.lit(0.8), "outline_level": F.col("level"),
         }
     )
-    return _roots(documents).select(*SECTION).unionByName(_end_pages(sections, levels).select(*SECTION))
+    return _roots(documents).select(*SECTION).unionByName(sections.select(*SECTION))
 
 
 def sections_of(outline: DataFrame, headings: DataFrame, documents: DataFrame) -> DataFrame:
@@ -154,29 +192,51 @@ def element_counts(elements: DataFrame) -> DataFrame:
     return long.groupBy("doc_id", "x.by", "x.value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def breadcrumbs(sections: DataFrame, depth: int = 32) -> DataFrame:
+def _paths(ids: list[str], titles: list[str], parents: list[str]) -> list[str]:
+    """Of each section the titles from the root down, joined by ' > '; ids that do not exist or were met before end a path."""
+    title_of, up, known = dict(zip(ids, titles, strict=True)), dict(zip(ids, parents, strict=True)), {}
+
+    def joined(path: str, at: str) -> str:
+        title = title_of[at] or ""
+        return f"{path} > {title}" if path and title else path or title
+
+    for start in ids:
+        chain, met, at = [], set(), start
+        while at in up and at not in met and at not in known:
+            chain.append(at)
+            met.add(at)
+            at = up[at]
+        if at in met:  # a cycle: paths of the sections on it each end before themselves
+            ring = chain[chain.index(at) :]
+            for i, x in enumerate(ring):
+                path = ""
+                for y in reversed(ring[i:] + ring[:i]):
+                    path = joined(path, y)
+                known[x] = path
+            chain = chain[: -len(ring)]
+        path = known.get(at, "")
+        for x in reversed(chain):
+            path = known[x] = joined(path, x)
+    return [known[x] for x in ids]
+
+
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _hierarchies(trees: pd.DataFrame) -> pd.Series:
+    return pd.Series([_paths(list(i), list(t), list(p)) for i, t, p in zip(trees["ids"], trees["titles"], trees["parents"], strict=True)], dtype=object)
+
+
+def breadcrumbs(sections: DataFrame) -> DataFrame:
     """(doc_id, section_id, hierarchy): titles from the root down, joined by ' > '; of equal ids the last section counts.
 
-    Ids that do not exist end a path, and so do ids met before, so a cycle is no harm; at most `depth` steps.
-    A document's sections meet in one row, as a map, and paths are walked there.
+    Ids that do not exist end a path, and so do ids met before, so a cycle is no harm; depth has no limit.
+    A document's sections meet in one row, where each path is made once from its parent's.
     """
-    last = sections.groupBy("doc_id", "section_id").agg(F.max_by(F.struct("title", "parent_id"), "order").alias("s"))
-    maps = last.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("section_id", "s"))).alias("tree"))
-
-    def step(acc: Column, _: Column) -> Column:
-        here = F.element_at(F.col("tree"), acc["at"])
-        live = acc["at"].isNotNull() & ~F.array_contains(acc["seen"], acc["at"]) & F.map_contains_key("tree", acc["at"])
-        title = strip(F.coalesce(here["title"], F.lit("")))
-        return F.struct(
-            F.when(live, here["parent_id"]).alias("at"),
-            F.when(live, F.concat(acc["seen"], F.array(acc["at"]))).otherwise(acc["seen"]).alias("seen"),
-            F.when(live & (title != ""), F.concat(F.array(title), acc["path"])).otherwise(acc["path"]).alias("path"),
-        )
-
-    empty = F.array().cast("array<string>")
-    rows = maps.select("doc_id", "tree", F.explode(F.map_keys("tree")).alias("section_id"))
-    start = F.struct(F.col("section_id").alias("at"), empty.alias("seen"), empty.alias("path"))
-    return rows.select("doc_id", "section_id", F.aggregate(F.sequence(F.lit(1), F.lit(depth)), start, step, lambda acc: F.array_join(acc["path"], " > ")).alias("hierarchy"))
+    last = sections.groupBy("doc_id", "section_id").agg(F.max_by(F.struct(strip(F.coalesce("title", F.lit(""))).alias("title"), "parent_id"), "order").alias("s"))
+    listed = last.groupBy("doc_id").agg(F.collect_list(F.struct("section_id", "s.title", "s.parent_id")).alias("all"))
+    tree = F.struct(F.col("all.section_id").alias("ids"), F.col("all.title").alias("titles"), F.col("all.parent_id").alias("parents"))
+    paths = listed.withColumn("paths", _hierarchies(tree))
+    rows = paths.select("doc_id", F.explode(F.transform("all", lambda s, i: F.struct(s["section_id"].alias("section_id"), F.get("paths", i).alias("hierarchy")))).alias("s"))
+    return rows.select("doc_id", "s.*")
 
 
 def outline_gaps(outline: DataFrame, headings: DataFrame) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.provider import COMPACT, ELEMENT_TYPES, PROMPT, RETRY, chat_content, chat_error, element_error, page_schema
+from ..functions.provider import BAD_CONFIDENCE, BAD_TYPE, COMPACT, ELEMENT_TYPES, EMPTY, NO_CHOICES, NO_TEXT, NOT_JSON, PROMPT, REFUSED, RETRY, TRUNCATED, chat_content, chat_error, element_error, page_schema
 from ..functions.text import strip
 from ..options import Options
 
@@ -45,19 +45,19 @@ def recover_json(content: str) -> dict:
         if isinstance(found, dict) and isinstance(found.get("elements"), list):
             return found
         at = content.find("{", at + 1)
-    raise ProviderError("Provider response was not valid JSON.")
+    raise ProviderError(NOT_JSON)
 
 
 def checked(reply: dict) -> dict:
     """The reply, if each of its elements has a known type, a text and a confidence from 0 to 1."""
     for e in reply["elements"]:
         if not isinstance(e, dict) or e.get("type") not in ELEMENT_TYPES:
-            raise ProviderError("Provider response contained an unsupported element type.")
+            raise ProviderError(BAD_TYPE)
         if not isinstance(e.get("text"), str):
-            raise ProviderError("Provider response contained an element without text.")
+            raise ProviderError(NO_TEXT)
         sure = e.get("confidence")
         if not isinstance(sure, (int, float)) or math.isnan(sure) or not 0 <= sure <= 1:
-            raise ProviderError("Provider response contained an invalid element confidence.")
+            raise ProviderError(BAD_CONFIDENCE)
     return reply
 
 
@@ -109,10 +109,10 @@ def content_of(response: dict) -> str:
     message = first.get("message") or {}
     text = message.get("content")
     problems = [
-        (not choices, "Provider returned no chat completion choices."),
-        (first.get("finish_reason") == "length", "Provider output was truncated at the configured VLM token limit."),
-        (bool(message.get("refusal")), "Provider refused the page extraction request."),
-        (not isinstance(text, str) or not text.strip(), "Provider returned empty page extraction content."),
+        (not choices, NO_CHOICES),
+        (first.get("finish_reason") == "length", TRUNCATED),
+        (bool(message.get("refusal")), REFUSED),
+        (not isinstance(text, str) or not text.strip(), EMPTY),
     ]
     for bad, why in problems:
         if bad:

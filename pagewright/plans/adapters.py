@@ -51,17 +51,18 @@ def outline(spark: SparkSession, sf_dir: str) -> DataFrame:
     p, text = F.col("page_num"), F.col("text")
     numeral = F.element_at(F.array(*map(F.lit, ROMAN)), (F.floor((p - 1) / 5) % 10 + 1).cast("int"))
     title = (
-        F.when((p - 1) % 5 == 0, F.concat(F.lit("PART "), numeral, F.lit(" "), F.substring(text, 1, 20)))
-        .when((p - 1) % 5 == 1, F.concat(p.cast("string"), F.lit(". "), F.substring(text, 1, 30)))
-        .when((p - 1) % 5 == 2, F.concat(F.lit("Appendix IV: "), F.substring(text, 1, 24)))
+        F.when((p - 1) % 5 == 0, F.concat(F.lit("PART "), numeral, F.lit(" "), text))
+        .when((p - 1) % 5 == 1, F.concat(p.cast("string"), F.lit(". "), text))
+        .when((p - 1) % 5 == 2, F.concat(F.lit("Appendix IV: "), text))
         .when((p - 1) % 5 == 3, F.lit("Appendices"))
-        .otherwise(F.substring(text, 1, 30))
+        .otherwise(text)
     )
     return first.select("doc_id", p.alias("ord"), (p % 2 + 1).alias("outline_level"), title.alias("title"), (p + F.col("doc_id") % 2).cast("int").alias("page"))
 
 
 def headings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return elements(spark, sf_dir).filter("seq % 4 = 1").select("doc_id", F.col("seq").alias("ord"), ((F.col("seq") * 7 + F.col("doc_id")) % 4 + 1).cast("int").alias("level"), F.substring("text", 1, 30).alias("title"), F.col("page_num").alias("page"))
+    """Every line, over twenty levels."""
+    return elements(spark, sf_dir).select("doc_id", F.col("seq").alias("ord"), ((F.col("seq") * 7 + F.col("doc_id")) % 20 + 1).cast("int").alias("level"), F.col("text").alias("title"), F.col("page_num").alias("page"))
 
 
 def layouts(spark: SparkSession, sf_dir: str) -> DataFrame:

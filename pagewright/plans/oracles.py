@@ -23,8 +23,8 @@ BUDGETED = """placed AS (SELECT *, row_number() OVER (PARTITION BY doc_id, accep
   budgeted AS (SELECT doc_id, page_num, initial_route, NOT accepted AND place > 2 AS over_budget, CASE WHEN accepted THEN 'accept' WHEN place > 2 THEN 'manual_review' ELSE 'fallback_to_vlm' END AS decision, CASE WHEN NOT accepted AND place > 2 THEN 'manual_review' ELSE final_route END AS final_route,
     CASE WHEN NOT accepted AND place > 2 THEN list_append(reasons, 'max_vlm_pages_exceeded') ELSE reasons END AS reasons FROM placed)"""
 OUTLINE = """titled AS (SELECT doc_id, source || '-' || doc_id AS title, CAST((len(string_split(text, chr(10))) - 1) // 5 + 2 AS INTEGER) AS page_count FROM documents),
-  outline AS (SELECT doc_id, page_num AS ord, CAST(page_num % 2 + 1 AS INTEGER) AS outline_level, CAST(page_num + doc_id % 2 AS INTEGER) AS page, trim(CASE (page_num - 1) % 5 WHEN 0 THEN 'PART ' || ['I','II','III','IV','V','VI','VII','VIII','IX','X'][((page_num - 1) // 5) % 10 + 1] || ' ' || substring(text, 1, 20)
-    WHEN 1 THEN page_num || '. ' || substring(text, 1, 30) WHEN 2 THEN 'Appendix IV: ' || substring(text, 1, 24) WHEN 3 THEN 'Appendices' ELSE substring(text, 1, 30) END) AS title FROM lines WHERE seq % 5 = 1)"""
+  outline AS (SELECT doc_id, page_num AS ord, CAST(page_num % 2 + 1 AS INTEGER) AS outline_level, CAST(page_num + doc_id % 2 AS INTEGER) AS page, trim(CASE (page_num - 1) % 5 WHEN 0 THEN 'PART ' || ['I','II','III','IV','V','VI','VII','VIII','IX','X'][((page_num - 1) // 5) % 10 + 1] || ' ' || text
+    WHEN 1 THEN page_num || '. ' || text WHEN 2 THEN 'Appendix IV: ' || text WHEN 3 THEN 'Appendices' ELSE text END) AS title FROM lines WHERE seq % 5 = 1)"""
 SLUG = "CASE WHEN {s} = '' THEN 'untitled' ELSE {s} END"
 
 
@@ -50,7 +50,7 @@ UNITS = """units AS (SELECT doc_id, seq, page_num, CASE WHEN type = 'table' THEN
 PACK = """pack AS (SELECT doc_id, seq, n, text, page_num, tokens, tokens AS held, CAST(1 AS BIGINT) AS chunk_no FROM counted WHERE n = 1
     UNION ALL SELECT c.doc_id, c.seq, c.n, c.text, c.page_num, c.tokens, CASE WHEN p.held > 0 AND p.held + c.tokens > 200 THEN c.tokens ELSE p.held + c.tokens END, p.chunk_no + CASE WHEN p.held > 0 AND p.held + c.tokens > 200 THEN 1 ELSE 0 END FROM pack p JOIN counted c ON c.doc_id = p.doc_id AND c.n = p.n + 1)"""
 CHUNKS = """chunked AS (SELECT doc_id, chunk_no, string_agg(text, chr(10) || chr(10) ORDER BY seq) AS text, array_to_string(list_sort(list_distinct(list(page_num))), ',') AS pages, CAST(sum(tokens) AS BIGINT) AS token_count FROM pack GROUP BY 1, 2)"""
-HEADINGS = """headings AS (SELECT doc_id, seq AS ord, CAST((seq * 7 + doc_id) % 4 + 1 AS INTEGER) AS level, trim(substring(text, 1, 30)) AS title, page_num AS page FROM lines WHERE seq % 4 = 1)"""
+HEADINGS = """headings AS (SELECT doc_id, seq AS ord, CAST((seq * 7 + doc_id) % 20 + 1 AS INTEGER) AS level, trim(text) AS title, page_num AS page FROM lines)"""
 BLOCKS = """blocks AS (SELECT doc_id, page_num, seq AS idx, text, CAST(CASE WHEN seq % 6 = 1 THEN 14 + doc_id % 3 WHEN seq % 6 = 4 THEN 8 ELSE 10 + seq % 2 END AS DOUBLE) AS size FROM lines),
   sizes AS (SELECT doc_id, size, sum(length(text)) AS chars, min(page_num * 1000000 + idx) AS first FROM blocks GROUP BY 1, 2),
   bodies AS (SELECT doc_id, arg_max(size, chars * 1000000000000 - first) AS body_size FROM sizes GROUP BY 1),

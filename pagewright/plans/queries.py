@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -97,13 +98,12 @@ def parse_report(spark: SparkSession, d: str) -> DataFrame:
     return found.withColumns({"missing_pages": joined("missing_pages"), "word_join_samples": joined("word_join_samples"), "warnings": joined("warnings", "; ")})
 
 
-@query(with_(LINES, select="SELECT doc_id, page_num, CAST(round(least(1.0, (least(40 + seq % 50, 77) * 30.0 + 20.0 * (100 - least(103, 60 + seq % 60) + 3)) / 7931.0), 4) AS DOUBLE) AS coverage FROM lines WHERE seq % 5 = 1"))
+@query(with_(LINES, select="SELECT doc_id, seq, CAST(round(least(1.0, (least(40 + seq % 50, 77) * 30.0 + 20.0 * (100 - least(103, 60 + seq % 60) + 3)) / 7931.0), 4) AS DOUBLE) AS coverage FROM lines"))
 def image_coverage(spark: SparkSession, d: str) -> DataFrame:
     s = F.col("seq").cast("double")
     box = lambda *v: F.struct(*[x.cast("double").alias(n) for x, n in zip(v, ("x0", "y0", "x1", "y1"), strict=True)])
     boxes = F.array(box(F.lit(-10), F.lit(0), 40 + s % 50, F.lit(30)), box(F.lit(10), 60 + s % 60, F.lit(30), F.lit(150)))
-    rows = a.elements(spark, d).filter("seq % 5 = 1")
-    return rows.select("doc_id", "page_num", route.image_coverage(boxes, F.lit(77.0), F.lit(103.0)).alias("coverage"))
+    return a.elements(spark, d).select("doc_id", "seq", route.image_coverage(boxes, F.lit(77.0), F.lit(103.0)).alias("coverage"))
 
 
 @query(with_(LINES, SIGNALS, STATS, select="SELECT * FROM stats"))
@@ -334,9 +334,9 @@ def reading_order(spark: SparkSession, d: str) -> DataFrame:
     return flatten.reading_order(flatten.flatten_layouts(a.layouts(spark, d))).select("doc_id", "source_ref", "seq")
 
 
-@query(with_(LINES, select=f"SELECT doc_id, seq, {slug('substring(text, 1, 70)')} AS slug FROM lines"))
+@query(with_(LINES, select=f"SELECT doc_id, seq, {slug('text')} AS slug FROM lines"))
 def slugify(spark: SparkSession, d: str) -> DataFrame:
-    return a.elements(spark, d).select("doc_id", "seq", text.slugify(F.substring("text", 1, 70)).alias("slug"))
+    return a.elements(spark, d).select("doc_id", "seq", text.slugify("text").alias("slug"))
 
 
 @query("SELECT doc_id, CAST(doc_id % 10 + 1 + 10 * (doc_id % 4) AS INTEGER) AS value FROM documents")
@@ -470,6 +470,8 @@ def progress_bars(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT doc_id, 'book.hybrid_vlm.p' || printf('%04d', doc_id * 37) || '-p' || printf('%04d', doc_id * 37 + 4) AS stem FROM documents")
 def artifact_stems(spark: SparkSession, d: str) -> DataFrame:
-    assert artifact_stem("book", 1, 5, "hybrid_vlm") == "book.hybrid_vlm.p0001-p0005"
-    start = F.col("doc_id") * 37
-    return a.documents(spark, d).select("doc_id", F.format_string("book.hybrid_vlm.p%04d-p%04d", start, start + 4).alias("stem"))
+    @F.pandas_udf("string")
+    def stem(ids: pd.Series) -> pd.Series:
+        return ids.map(lambda i: artifact_stem("book", i * 37, i * 37 + 4, "hybrid_vlm"))
+
+    return a.documents(spark, d).select("doc_id", stem("doc_id").alias("stem"))

@@ -213,6 +213,21 @@ def test_heading_tree_and_fallback(spark):
     assert (2, "unused") not in rows and rows[2, "Start"].source == "pdf_outline"
 
 
+def test_sections_of_any_depth(spark):
+    docs = spark.createDataFrame([(1, "Book", 90)], "doc_id long, title string, page_count int")
+    deep = [(1, i, i, f"t{i}", i) for i in range(1, 41)] + [(1, 41, 7, "back", 50), (1, 42, 99, "far", 60)]
+    found = {r.title: r for r in sections.heading_sections(spark.createDataFrame(deep, "doc_id long, ord int, level int, title string, page int"), docs).collect()}
+    assert all(found[f"t{i}"].parent_title == (f"t{i - 1}" if i > 1 else "Book") and found[f"t{i}"].parent_id == found[f"t{i - 1}" if i > 1 else "Book"].section_id for i in range(1, 41))
+    assert (found["back"].parent_title, found["far"].parent_title) == ("t6", "back")
+    assert (found["t6"].end_page, found["t7"].end_page, found["t39"].end_page, found["far"].end_page) == (90, 49, 49, 90)
+    crumbs = {r.section_id: r.hierarchy for r in sections.breadcrumbs(sections.heading_sections(spark.createDataFrame(deep, "doc_id long, ord int, level int, title string, page int"), docs)).collect()}
+    assert crumbs[found["t40"].section_id] == " > ".join(["Book", *(f"t{i}" for i in range(1, 41))])
+
+
+def test_paths_with_cycles():
+    assert sections._paths(["a", "b", "c", "d", "e"], ["A", "B", "C", "", "E"], ["b", "a", "b", "c", "gone"]) == ["B > A", "A > B", "A > B > C", "A > B > C", "E"]
+
+
 def test_attach_and_breadcrumbs(spark):
     tree = "doc_id long, section_id string, title string, level int, parent_id string, parent_title string, start_page int, end_page int, source string, `order` int"
     rows = [(1, "document", "Book", 0, None, None, 1, 9, "synthetic_root", 0), (1, "a", "A", 1, "document", "Book", 2, 5, "x", 1), (1, "b", "B", 2, "a", "A", 3, 5, "x", 2), (1, "c", " ", 2, "b", "B", 3, 3, "x", 3), (1, "loop", "L", 1, "loop", "L", 8, 7, "x", 4)]

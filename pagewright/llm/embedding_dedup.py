@@ -26,7 +26,7 @@ from .components import connected_components
 from .shingles import mix
 
 #: Recall wanted for pairs right at the threshold, and rows of a bucket that meet in one block.
-RECALL, BLOCK = 0.999, 256
+RECALL, BLOCK = 0.999, 2048
 #: Sign bits of a sketch, and how many standard deviations above a pair's mean at the threshold its distance may be.
 SKETCH, SPREAD = 128, 6.0
 #: Pairs looked at in one go.
@@ -150,6 +150,23 @@ def first_meeting(x: np.ndarray, y: np.ndarray, table: np.ndarray, bucket: np.nd
     return (first == table) & (np.minimum(of_x, of_y) == bucket)
 
 
+def merge_labels(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Labels (places of rows) after rows i and j of each pair have come together; the lesser label stays."""
+    a, b = label[i], label[j]
+    apart = a != b
+    a, b = a[apart], b[apart]
+    if not len(a):
+        return label
+    root = np.arange(len(label))
+    while True:
+        before = root.copy()
+        np.minimum.at(root, a, before[b])
+        np.minimum.at(root, b, before[a])
+        root = root[root]
+        if (root == before).all():
+            return root[label]
+
+
 @cache
 def plan(n: int, dim: int, cosine: float, recall: float = RECALL) -> tuple[int, int]:
     """(tables, hashes): buckets outnumber n vectors eightfold unless pairs would hardly meet, and tables, however many, reach the recall for pairs at the cosine."""
@@ -262,24 +279,19 @@ def near_duplicate_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_co
                 ids, counts, bucket, t = (table[c].to_numpy() for c in ("class_id", "n", "bucket", "t"))
                 x = unit(table["vector"].to_pylist())
                 found = table["codes"].combine_chunks().flatten().to_numpy().reshape(len(ids), -1, table["each"][0].as_py())
-                links = [(np.zeros(0, np.int64),) * 3]
+                # links are counted and merged as they are found: a full bucket's are never held together
+                linked, label = np.zeros(len(ids)), np.arange(len(ids))
                 for i, j in candidates(table, ends):
-                    for start in range(0, len(i), 1 << 15):
-                        a, b = i[start : start + (1 << 15)], j[start : start + (1 << 15)]
-                        good = np.einsum("ij,ij->i", x[a], x[b]) >= cosine
-                        a, b = a[good], b[good]
-                        for part in range(0, len(a), 1 << 12):
-                            u, v = a[part : part + (1 << 12)], b[part : part + (1 << 12)]
-                            links.append((u, v, first_meeting(found[u], found[v], t[u], bucket[u]).astype(np.int64)))
-                i, j, new = (np.concatenate(y) for y in zip(*links, strict=True))
-                label = ids.copy()
-                while True:
-                    before = label.copy()
-                    np.minimum.at(label, i, before[j])
-                    np.minimum.at(label, j, before[i])
-                    if (label == before).all():
-                        break
-                linked = np.bincount(i, counts[j] * new, len(ids)) + np.bincount(j, counts[i] * new, len(ids))
+                    for start in range(0, len(i), 1 << 12):
+                        u, v = i[start : start + (1 << 12)], j[start : start + (1 << 12)]
+                        good = np.einsum("ij,ij->i", x[u], x[v]) >= cosine
+                        u, v = u[good], v[good]
+                        new = first_meeting(found[u], found[v], t[u], bucket[u])
+                        linked += np.bincount(u, counts[v] * new, len(ids)) + np.bincount(v, counts[u] * new, len(ids))
+                        label = merge_labels(label, u, v)
+                least = np.full(len(ids), np.iinfo(np.int64).max)
+                np.minimum.at(least, label, ids)
+                label = least[label]
                 keep = np.flatnonzero((linked > 0) | (label < ids))
                 yield pa.RecordBatch.from_arrays([pa.array(ids[keep]), pa.array(linked[keep].astype(np.int64)), pa.array(label[keep])], ["class_id", "links", "label"])
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import ctypes
 import functools
 import math
@@ -17,6 +19,9 @@ from pyspark.sql import functions as F
 #: Words are maximal runs of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 SLICE_BYTES = 1 << 20
+#: Spark's setting by which the shuffle files of a query are removed when it has ended.
+CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_written: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("written", default=None)
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -41,19 +46,53 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write df once as Parquet in the shared scratch folder and read it back.
 
     Cuts the lineage so that a lost executor costs a re-read, not a recomputation, and keeps an
-    iterative plan small.  The table lives until `clear_scratch`.
+    iterative plan small; the shuffle files of the write go as soon as it has ended.  The table lives until the
+    `settled` call around it ends, or until `clear_scratch`.
     """
     spark = df.sparkSession
     path = f"{_home(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    if (paths := _written.get()) is not None:
+        paths.append(path)
+    before = spark.conf.get(CLEAN_SHUFFLES, None)
+    spark.conf.set(CLEAN_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEAN_SHUFFLES) if before is None else spark.conf.set(CLEAN_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def _listing(spark: SparkSession) -> Iterator[None]:
+    paths: list[str] = []
+    token = _written.set(paths)
+    try:
+        yield
+    finally:
+        _written.reset(token)
+        for path in paths:
+            _delete(spark, path)
+
+
+def settled(spark: SparkSession, run: Callable[[], DataFrame], name: str) -> DataFrame:
+    """What run() returns, as one scratch table; the tables that run() wrote on the way are deleted, also if it fails."""
+    outer = _written.get()
+    with _listing(spark):
+        found = materialize(run(), name)
+        path = _written.get().pop()
+        if outer is not None:
+            outer.append(path)
+    return found
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete every table that this application's `materialize` has written; call it when no result is read any more."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(_home(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, _home(spark))
 
 
 def lower_ascii(text: Column | str) -> Column:

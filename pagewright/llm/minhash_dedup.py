@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, released, slices
+from .common import materialize, released, settled, slices
 from .components import connected_components
 from .shingles import jaccard_counts, minhash, shingle_hashes, word_hashes
 
@@ -192,7 +192,7 @@ def _components(base: DataFrame, k: int, percent: int) -> DataFrame:
     components = connected_components(stars.unionAll(more))
     placed = materialize(classes.select("class_id", "least_id").join(components, F.col("class_id") == F.col("node"), "left").select("class_id", "least_id", F.coalesce("component", "class_id").alias("node")), "minhash-found")
     least = materialize(placed.groupBy("node").agg(F.min("least_id").alias("component_id")), "minhash-least")
-    return materialize(placed.join(least, "node").select("class_id", "node", "component_id"), "minhash-found")
+    return placed.join(least, "node").select("class_id", "node", "component_id")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
@@ -205,8 +205,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     are not read.
     """
     base = materialize(signatures(docs, id_col, text_col, k), "minhash-signatures")
+    found = settled(docs.sparkSession, lambda: _components(base, k, percent), "minhash-found")
     rows = base.select("doc_id", "class_id", "n_shingles")
-    linked = rows.filter("class_id is not null and doc_id is not null").join(_components(base, k, percent), "class_id").select("doc_id", "n_shingles", "component_id")
+    linked = rows.filter("class_id is not null and doc_id is not null").join(found, "class_id").select("doc_id", "n_shingles", "component_id")
     alone = rows.filter("class_id is null or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return linked.unionAll(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
@@ -218,9 +219,16 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     any one.  Rows that share an id but not their words are documents of their own, so no text is lost with
     another's id.  Texts without words and rows with a null id stay.
     """
-    base = materialize(signatures(docs, id_col, text_col, k, docs.columns), "minhash-signatures")
-    alone = base.filter("class_id is null or doc_id is null").select("row")
-    found = base.filter("class_id is not null and doc_id is not null").select("row", "doc_id", "class_id").join(_components(base, k, percent), "class_id")
-    firsts = found.filter("doc_id = component_id").groupBy("node", "class_id").agg(F.min("row").alias("row")).groupBy("node").agg(F.min_by("row", "class_id").alias("row"))
-    chosen = materialize(firsts.select("row").unionAll(alone), "minhash-chosen")
-    return base.select("row", "kept").join(chosen, "row", "left_semi").select(*[F.col("kept")[c].alias(c) for c in docs.columns])
+    others = [c for c in docs.columns if c != text_col]
+    base = materialize(signatures(docs, id_col, text_col, k, others), "minhash-signatures")
+
+    def dropped() -> DataFrame:
+        linkable = base.filter("class_id is not null and doc_id is not null").select("row", "doc_id", "class_id")
+        found = materialize(linkable.join(_components(base, k, percent), "class_id"), "minhash-found")
+        firsts = found.filter("doc_id = component_id").groupBy("node", "class_id").agg(F.min("row").alias("row")).groupBy("node").agg(F.min_by("row", "class_id").alias("row"))
+        return found.select("row").join(firsts.select("row"), "row", "left_anti")
+
+    # what goes is the smaller part, so it is what is joined
+    kept = base.select("row", "kept", "text").join(settled(docs.sparkSession, dropped, "minhash-dropped"), "row", "left_anti")
+    kind = docs.schema[text_col].dataType
+    return kept.select(*[F.col("text").cast(kind).alias(c) if c == text_col else F.col("kept")[c].alias(c) for c in docs.columns])

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagewright.llm.common import materialize
+from pagewright.llm.common import materialize, settled
 from pagewright.llm.minhash_dedup import drop_near_duplicates
 from pagewright.llm.paragraph_dedup import remove_passages, repeated_passages
 from pagewright.llm.piece_codec import round_trip
@@ -35,13 +35,13 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts passages that repeat an earlier document's out of texts; n_chars follows the text."""
-    cut = remove_passages(docs, repeated_passages(docs))
+    cut = remove_passages(docs, settled(spark, lambda: repeated_passages(docs), "repeats"))
     return cut.withColumn("n_chars", F.coalesce(F.char_length("text"), F.lit(0)).cast(docs.schema["n_chars"].dataType)).select(*docs.columns) if "n_chars" in docs.columns else cut
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes every document as often as the mix of sources to target weights says."""
-    return apply_mix(docs, materialize(mix_sources(docs), "mix"))
+    return apply_mix(docs, settled(spark, lambda: mix_sources(docs), "mix"))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,9 +10,8 @@ The tree is a table, not an object: with q the probability of a successor in a c
 context leaves to its parent, log q - log q of the parent - log r belongs to the word sequence context + successor
 and log r to the context itself, zero where a context is not kept.  A token's log probability over its unigram one
 is then the sum over the word sequences that end in it and the contexts before it, so a text's score is a sum over
-its word sequences of 1 to DEPTH + 1 words, looked up by hash.  Contexts and successors have least counts, no least
-shares, so the table grows with the input; only the least count of the tree's words rises, with the square root of
-all tokens.  The HEAD most frequent entries travel to every task; a bit map of fixed size drops most sequences that
+its word sequences of 1 to DEPTH + 1 words, looked up by hash.  Words, contexts and successors have least counts,
+the same for every input, so the table grows with it.  The HEAD most frequent entries travel to every task; a bit map of fixed size drops most sequences that
 are in no table, and the rest is joined.  A full bit map costs shuffle, never results.
 """
 
@@ -25,20 +24,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, released, slices
+from .common import materialize, released, settled, slices
 from .shingles import mix, word_hashes
 
 DEPTH = 3
 #: Least counts of a context and of a successor within a context.
 LEAST_CONTEXT, LEAST_PAIR = 20, 3
-#: The tree's words occur at least LEAST_WORD times, and SHARE_OF_ROOT times the square root of all training tokens:
-#: pairs of rarer words hardly repeat, and would all have to be shuffled to learn that.
-LEAST_WORD, SHARE_OF_ROOT = 5, 0.125
+#: The tree's words occur at least LEAST_WORD times, whatever the size of the input: no share of the root of its tokens.
+LEAST_WORD, SHARE_OF_ROOT = 5, 0.0
 DISCOUNT, NOVEL = 0.5, 1.0
 #: At most so many words, and so many entries of the tree, travel to every task.
 HEAD = 1 << 20
-#: Bits of a map of hash cells.
-GATE_BITS = 27
+#: At most 2 ** GATE_BITS bits of a map of hash cells, and CELLS_A_KEY bits for each key below that.
+GATE_BITS, CELLS_A_KEY = 27, 32
 END_WORD = -(1 << 62) + 12345
 START_WORD = -(1 << 62) + 54321
 _U = np.uint64
@@ -83,14 +81,21 @@ def sequences(texts: list[bytes], longest: int) -> tuple[list[np.ndarray], np.nd
 
 
 def inside(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Whether the cells of keys are set in a bit map."""
+    """Whether both cells of each key, one by its low and one by its high bits, are set in a bit map."""
     k = keys.view(_U)
-    return (bits[(k >> _U(6)) & _U(len(bits) - 1)] >> (k & _U(63)) & _U(1)).astype(bool)
-
-
-def bit_map(keys: DataFrame, bits: int = GATE_BITS) -> np.ndarray:
-    """The bit map of the cells of a column `gram`; at most 2 ** (bits - 6) rows come back."""
-    cells = keys.select(F.shiftrightunsigned("gram", 6).bitwiseAND(F.lit((1 << bits - 6) - 1)).alias("cell"), F.expr("shiftleft(1L, cast(gram & 63L as int))").alias("bit"))
+    last = _U(len(bits) - 1)
+    low = (bits[(k >> _U(6)) & last] >> (k & _U(63)) & _U(1)).astype(bool)
+    at = np.flatnonzero(low)
+    k = k[at]
+    low[at] = (bits[(k >> _U(36)) & last] >> (k >> _U(58)) & _U(1)).astype(bool)
+    return low
+
+
+def bit_map(keys: DataFrame) -> np.ndarray:
+    """The bit map of the cells of a column `gram`; at most 2 ** (GATE_BITS - 6) rows come back."""
+    bits = min(GATE_BITS, max(6, (CELLS_A_KEY * keys.count()).bit_length()))
+    cell = lambda shift, bit: F.struct(F.shiftrightunsigned("gram", shift).bitwiseAND(F.lit((1 << bits - 6) - 1)).alias("cell"), F.expr(f"shiftleft(1L, cast({bit} as int))").alias("bit"))
+    cells = keys.select(F.inline(F.array(cell(6, "gram & 63L"), cell(36, "shiftrightunsigned(gram, 58)"))))
     found = cells.groupBy("cell").agg(F.bit_or("bit").alias("bits")).toArrow()
     out = np.zeros(1 << bits - 6, np.int64)
     out[found["cell"].to_numpy()] = found["bits"].to_numpy()
@@ -233,6 +238,7 @@ def tree_table(training: DataFrame, text_col: str, words: DataFrame, scale: floa
         joined = counted.join(contexts.select(F.col("gram").alias("context"), F.col("n").alias("total")), "context")
         joined = joined.join(level.select(F.col("gram").alias("suffix"), F.col("q").alias("parent")), "suffix")
         joined = materialize(joined.select("gram", "context", "n", "total", "parent", ((F.col("n") - DISCOUNT) / (F.col("total") + NOVEL)).alias("share")), "suffix-counts")
+        shared.destroy()  # its copies lie on the disks of the driver and of all executors
         sums = joined.groupBy("context").agg(F.max("total").alias("total"), F.sum("n").alias("listed"), F.count(F.lit(1)).alias("k"), F.sum("share").alias("share"), F.sum("parent").alias("parent"), F.sum(F.col("n") * F.log(F.col("share") / F.col("parent"))).alias("gain"))
         sums = sums.withColumn("rest", (1 - F.col("share")) / F.greatest(1 - F.col("parent"), F.lit(1e-9)))
         gain = F.col("gain") + (F.col("total") - F.col("listed")) * F.log("rest")
@@ -275,7 +281,7 @@ def score_texts(docs: DataFrame, training: DataFrame, text_col: str = "text") ->
     sums = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     n, v = int(sums["n"]), int(sums["v"])
     scale = n + 0.5 * (v + 1)
-    tree = materialize(tree_table(training, text_col, words, scale, max(LEAST_WORD, SHARE_OF_ROOT * n**0.5)), "suffix-tree")
+    tree = settled(spark, lambda: tree_table(training, text_col, words, scale), "suffix-tree")
     common_word, common_gram = head_of(words), head_of(tree)
     base = F.log10((F.col("n") + 0.5) / F.lit(scale))
     heads = [t.filter(F.col("n") >= least).select("gram", gain.alias("gain")).toArrow() for t, least, gain in ((words, common_word, base), (tree, common_gram, F.col("gain")))]  # at most HEAD rows each
@@ -319,14 +325,14 @@ def score_texts(docs: DataFrame, training: DataFrame, text_col: str = "text") ->
     numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.col(text_col).cast("binary").alias("text"), F.struct(*keep).alias("kept"))
     kind = numbered.schema["kept"].dataType.simpleString()
     scored = materialize(numbered.mapInArrow(run, f"row long, kept {kind}, gram long, is_word boolean, times long, n_tokens long, n_head long, head_score double, gain double"), "suffix-scores")
+    shared.destroy()
     values = words.filter(F.col("n") < common_word).select("gram", F.lit(True).alias("is_word"), base.alias("value")).unionAll(rare.select("gram", F.lit(False).alias("is_word"), F.col("gain").alias("value")))
-    tail = scored.filter("gram is not null").select("row", "gram", "is_word", "times").join(values, ["gram", "is_word"], "left")
+    tail = scored.filter("gram is not null").select("row", "gram", "is_word", "times").join(values, ["gram", "is_word"])
     unseen = F.log10(F.lit(0.5 / scale))
-    known_word = F.col("is_word") & F.col("value").isNotNull()
-    tail = tail.groupBy("row").agg(
-        F.sum(F.when(F.col("is_word"), F.col("times") * F.coalesce("value", unseen))).alias("tail_score"), F.sum(F.when(known_word, F.col("times"))).alias("n_tail"), F.sum(F.when(~F.col("is_word"), F.col("times") * F.col("value"))).alias("tail_gain")
-    )
+    of_words = lambda value: F.coalesce(F.sum(F.when(F.col("is_word"), value)), F.lit(0))
+    tail = tail.groupBy("row").agg(of_words(F.col("times") * F.col("value")).alias("tail_score"), of_words(F.col("times")).alias("n_tail"), F.sum(F.when(~F.col("is_word"), F.col("times") * F.col("value"))).alias("tail_gain"))
     whole = scored.filter("gram is null").drop("gram", "is_word", "times").join(tail, "row", "left")
-    base_score = F.col("head_score") + F.coalesce("tail_score", F.lit(0.0))
+    n_known = F.col("n_head") + F.coalesce("n_tail", F.lit(0))
+    base_score = F.col("head_score") + F.coalesce("tail_score", F.lit(0.0)) + (F.col("n_tokens") - n_known) * unseen
     score = base_score + F.col("gain") + F.coalesce("tail_gain", F.lit(0.0))
-    return whole.select("kept.*", "n_tokens", (F.col("n_head") + F.coalesce("n_tail", F.lit(0))).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"), base_score.alias("base_score"), score.alias("score"))
+    return whole.select("kept.*", "n_tokens", n_known.alias("n_known"), F.lit(n).cast("long").alias("train_tokens"), base_score.alias("base_score"), score.alias("score"))

@@ -154,6 +154,20 @@ def test_tree_sums_to_one():
     assert sum(map(root, symbols)) == pytest.approx(1)
 
 
+def test_tree_does_not_depend_on_the_size(make):
+    pairs = [(i, "left right") for i in range(20)]
+    scored = []
+    for filler in (1, 50):
+        rows = pairs + [(100 + i, "the " * 1000) for i in range(filler)]
+        docs = make(rows)
+        found = {r.doc_id: r for r in suffix_tree.score_texts(docs, docs).collect()}
+        log_q, kept, _ = brute_tree([t for _, t in rows], suffix_tree.DEPTH, suffix_tree.LEAST_WORD, suffix_tree.LEAST_CONTEXT, suffix_tree.LEAST_PAIR)
+        s = ["<start>", *tokens("left right")]
+        assert ("left",) in kept and found[0].score == pytest.approx(sum(log_q(s, k) for k in range(1, len(s))))
+        scored.append(found[0].score - found[0].base_score)
+    assert scored[1] > scored[0] > 3
+
+
 def test_suffix_tree_of_odd_rows(odd, odd_rows, spark):
     assert suffix_tree.score_texts(odd, odd).count() == len(odd_rows)
     empty = spark.createDataFrame([], SCHEMA)

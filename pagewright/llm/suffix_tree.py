@@ -21,7 +21,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize, released, settled, slices
@@ -34,7 +34,7 @@ LEAST_CONTEXT, LEAST_PAIR = 20, 3
 LEAST_WORD, SHARE_OF_ROOT = 5, 0.0
 DISCOUNT, NOVEL = 0.5, 1.0
 #: At most so many words, and so many entries of the tree, travel to every task.
-HEAD = 1 << 20
+HEAD = 3 << 20
 #: At most 2 ** GATE_BITS bits of a map of hash cells, and CELLS_A_KEY bits for each key below that.
 GATE_BITS, CELLS_A_KEY = 27, 32
 END_WORD = -(1 << 62) + 12345
@@ -284,9 +284,13 @@ def score_texts(docs: DataFrame, training: DataFrame, text_col: str = "text") ->
     tree = settled(spark, lambda: tree_table(training, text_col, words, scale), "suffix-tree")
     common_word, common_gram = head_of(words), head_of(tree)
     base = F.log10((F.col("n") + 0.5) / F.lit(scale))
-    heads = [t.filter(F.col("n") >= least).select("gram", gain.alias("gain")).toArrow() for t, least, gain in ((words, common_word, base), (tree, common_gram, F.col("gain")))]  # at most HEAD rows each
+
+    def head(table: DataFrame, least: int, gain: Column) -> Lookup:
+        found = table.filter(F.col("n") >= least).select("gram", gain.alias("gain")).toArrow()  # at most HEAD rows
+        return Lookup(found["gram"].to_numpy(), found["gain"].to_numpy())
+
     rare = tree.filter(F.col("n") < common_gram)
-    shared = spark.sparkContext.broadcast(([Lookup(h["gram"].to_numpy(), h["gain"].to_numpy()) for h in heads], bit_map(rare)))
+    shared = spark.sparkContext.broadcast(([head(words, common_word, base), head(tree, common_gram, F.col("gain"))], bit_map(rare)))
 
     @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

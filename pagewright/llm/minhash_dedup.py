@@ -7,22 +7,25 @@ falls below the chosen miss probability; survivors are confirmed on full shingle
 A bucket of m classes is first compared with its least class only, m - 1 pairs.  Where that leaves several
 components in a bucket, its classes go through an exact prefix-filtered join across components, so no link
 between components is lost, a group of copies costs pairs in proportion to its size, and classes that merely
-share a common passage are told apart by bounds before any pair is made.
+share a common passage are told apart by bounds before any pair is made.  Before that join, where it would make
+more pairs than it reads rows, classes that share a shingle are compared with a few of them drawn by hash, round
+after round while that leaves far fewer pairs across.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize, released, settled, slices
 from .components import connected_components
+from .suffix_tree import bit_map, inside
 from .shingles import jaccard_counts, minhash, shingle_hashes, word_hashes
 
 BANDS, ROWS = 25, 5
@@ -30,6 +33,9 @@ BANDS, ROWS = 25, 5
 CELLS = 1 << 18
 #: Chance that a pair of the wanted similarity is given up.
 MISS = 1e-5
+#: Classes of a bucket with which all of it is compared in one round across components, and the share of the pairs
+#: across that a round may leave for another to follow.
+HUBS, WORTH = 4, 0.5
 
 
 def least_matches(n: int, similarity: float, miss: float = MISS) -> int:
@@ -69,6 +75,23 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, k: int, keep: list[s
     return rows.mapInArrow(run, f"row long, doc_id long, text binary, kept {kind}, class_id long, n_shingles long, signature array<int>")
 
 
+def among(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows whose key may be one of keys, by a bit map that travels to every task; an exact join is to follow.
+
+    Of wide rows only those that the join will keep are then shuffled for it; a full bit map costs shuffle, never results.
+    """
+    columns = rows.columns
+    shared = rows.sparkSession.sparkContext.broadcast(bit_map(keys.select(F.xxhash64(key).alias("gram"))))
+
+    @released
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            there = inside(shared.value, batch.column(batch.num_columns - 1).to_numpy())
+            yield batch.filter(pa.array(there)).select(columns)
+
+    return rows.withColumn("__cell", F.xxhash64(key)).mapInArrow(run, rows.schema)
+
+
 def likely(pairs: DataFrame, classes: DataFrame, similarity: float) -> DataFrame:
     """Pairs (a, b) that sequential comparison of their signatures does not give up."""
     n = BANDS * ROWS
@@ -88,7 +111,7 @@ def likely(pairs: DataFrame, classes: DataFrame, similarity: float) -> DataFrame
             yield pa.RecordBatch.from_arrays([batch.column(i).take(pa.array(alive)) for i in (0, 1)], ["a", "b"])
 
     side = lambda c: classes.select(F.col("class_id").alias(c), F.col("signature").alias(f"s{c}"))
-    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
+    return pairs.join(side("a").hint("merge"), "a").join(side("b").hint("merge"), "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
@@ -111,15 +134,16 @@ def confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataF
             yield pa.RecordBatch.from_arrays([part.column(i).filter(pa.array(good)) for i in (0, 1)], ["a", "b"])
 
     side = lambda c: texts.select(F.col("class_id").alias(c), F.col("text").alias(f"t{c}"))
-    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
+    return pairs.join(side("a").hint("merge"), "a").join(side("b").hint("merge"), "b").select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
-def across_components(open_: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """Candidate pairs (a, b), a > b, between the components of open_ (class_id, component).
+def across_components(open_: DataFrame, texts: DataFrame, k: int, percent: int, tested: DataFrame, test: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Links (a, b) between the components of open_ (class_id, component) that leave no link across components; test gives the links among pairs (a, b), a > b, and is not asked for those in tested.
 
     Exact: shingles have one order for all classes, from rare to common, and two sets of the wanted similarity
     share one among the first n - ceil(percent % of n) + 1 of each.  At the first shared one, what is left of
-    either set bounds their intersection, and a pair is made only if that bound allows the similarity.
+    either set bounds their intersection, and a pair is made only if that bound allows the similarity.  Classes
+    that a round of hubs has linked are one component in the next, and in the join that makes all pairs left.
     """
     texts = materialize(texts.join(open_, "class_id"), "minhash-open-texts")
 
@@ -155,11 +179,43 @@ def across_components(open_: DataFrame, texts: DataFrame, k: int, percent: int)
             yield pa.RecordBatch.from_arrays([part.column(0).take(at), part.column(2).take(at), *(pa.array(np.concatenate(x).astype(np.int64)) for x in (shingle, place, size))], ["class_id", "component", "shingle", "place", "n"])
 
     found = materialize(texts.select("class_id", "text", "component").mapInArrow(prefixes, "class_id long, component long, shingle long, place long, n long"), "minhash-prefixes")
-    x, y = found.alias("x"), found.alias("y")
+    tested = tested.select("a", "b")
+    links, draw, last = tested.limit(0), 0, None
+    while True:
+        # the pairs across components that the buckets hold, at most
+        sizes = found.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("m")).groupBy("shingle").agg(F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("own"))
+        open_pairs = sizes.agg(F.sum((F.col("m") * F.col("m") - F.col("own")) / 2)).first()[0] or 0
+        if open_pairs <= found.count() or last is not None and open_pairs > WORTH * last:
+            break
+        last = open_pairs
+        hub = F.struct("class_id", "component", "place", "n")
+        hubs = [F.min_by(hub, F.xxhash64("class_id", "shingle", F.lit(draw + i))) for i in range(HUBS)]
+        hubs = found.groupBy("shingle").agg(F.array_distinct(F.array(*hubs)).alias("hubs"), F.min("component").alias("low"), F.max("component").alias("high"))
+        hubs = materialize(hubs.filter("low < high").select("shingle", "hubs"), "minhash-hubs")
+        draw += HUBS
+        pairs = found.join(hubs, "shingle").select(F.struct("class_id", "component", "place", "n").alias("x"), F.explode("hubs").alias("y"))
+        pairs = _untested(pairs.filter("x.component <> y.component"), percent, tested)
+        new = test(pairs)
+        links, tested = links.unionAll(new), tested.unionAll(pairs)
+        ends = found.select("class_id", "component").distinct()
+        edges = ends.unionAll(new.select("a", "b")).toDF("a", "b")
+        components = materialize(connected_components(edges), "minhash-components")
+        found = found.drop("component").join(components.withColumnRenamed("node", "class_id"), "class_id", "left").withColumn("component", F.coalesce("component", "class_id"))
+        found = materialize(found.select("class_id", "component", "shingle", "place", "n"), "minhash-prefixes")
+    pairs = found.alias("x").join(found.alias("y"), (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.component") < F.col("y.component")) & _reachable(percent))
+    return links.unionAll(test(_untested(pairs, percent, tested)))
+
+
+def _reachable(percent: int) -> Column:
+    """Whether x and y, which share no shingle before the one at their places, may have the wanted similarity."""
     left = F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))
-    reachable = 100 * left >= percent * (F.col("x.n") + F.col("y.n") - left)
-    pairs = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.component") < F.col("y.component")) & reachable)
-    return pairs.select(F.greatest("x.class_id", "y.class_id").alias("a"), F.least("x.class_id", "y.class_id").alias("b")).distinct()
+    return 100 * left >= percent * (F.col("x.n") + F.col("y.n") - left)
+
+
+def _untested(pairs: DataFrame, percent: int, tested: DataFrame) -> DataFrame:
+    """The pairs (a, b), a > b, of the classes of x and y that may have the wanted similarity and are not in tested."""
+    named = pairs.filter(_reachable(percent)).select(F.greatest("x.class_id", "y.class_id").alias("a"), F.least("x.class_id", "y.class_id").alias("b"))
+    return materialize(named.distinct().join(tested, ["a", "b"], "left_anti"), "minhash-pairs")
 
 
 def _components(base: DataFrame, k: int, percent: int) -> DataFrame:
@@ -171,12 +227,15 @@ def _components(base: DataFrame, k: int, percent: int) -> DataFrame:
     # what a join needs of its keys is written first here and below, so that the join stands alone and a hot key can be split
     shared = materialize(banded.groupBy("band").agg(F.min("class_id").alias("least"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "minhash-bands")
     members = materialize(banded.join(shared, "band"), "minhash-members")
-    wanted = materialize(members.select("class_id").distinct().join(classes.select("class_id", "row"), "class_id"), "minhash-wanted")
+    wanted = materialize(members.select("class_id").distinct(), "minhash-wanted")
+    classes_of = classes.select("class_id", "row", "signature")
+    signed = materialize(among(classes_of, wanted, "class_id").join(wanted.hint("merge"), "class_id"), "minhash-signed")
     # the only time that whole texts are shuffled
-    texts = materialize(base.select("row", "text").join(wanted, "row").select("class_id", "text"), "minhash-texts")
+    rows = signed.select("class_id", "row")
+    texts = materialize(among(base.select("row", "text"), rows, "row").join(rows.hint("merge"), "row").select("class_id", "text"), "minhash-texts")
 
     def test(pairs: DataFrame) -> DataFrame:
-        survivors = materialize(likely(pairs, classes, percent / 100), "minhash-likely")
+        survivors = materialize(likely(pairs, signed, percent / 100), "minhash-likely")
         return materialize(confirmed(survivors, texts, k, percent), "minhash-links")
 
     tested = materialize(members.filter("class_id <> least").select(F.col("class_id").alias("a"), F.col("least").alias("b")).distinct(), "minhash-pairs")
@@ -185,8 +244,7 @@ def _components(base: DataFrame, k: int, percent: int) -> DataFrame:
     placed = materialize(members.join(components, F.col("class_id") == F.col("node"), "left").select("band", "class_id", F.coalesce("component", "class_id").alias("component")), "minhash-placed")
     split = materialize(placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("band"), "minhash-split")
     open_ = materialize(placed.join(split, "band", "left_semi").select("class_id", "component").distinct(), "minhash-open")
-    across = across_components(open_, texts, k, percent)
-    more = test(materialize(across.join(tested, ["a", "b"], "left_anti"), "minhash-pairs"))
+    more = across_components(open_, texts, k, percent, tested, test)
     # the first components are one star each, so the second round of linking starts from them
     stars = components.filter("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
     components = connected_components(stars.unionAll(more))

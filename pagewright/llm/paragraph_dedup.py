@@ -152,7 +152,7 @@ def _confirmed(named: DataFrame, cut: DataFrame, percent: int) -> DataFrame:
 
 
 def _across(lines: DataFrame, tested: DataFrame, texts: DataFrame, components: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between the components that lines of one band bucket are still in, by an exact join; none of the pairs in tested."""
+    """Links (a, b) between the components that lines of one band bucket are still in, by an exact join, as many as it takes to leave none across; none of the pairs in tested."""
     classes = lines.groupBy("e").agg(F.min(F.struct("doc", "sub", "start", "end")).alias("w"), F.first("bands").alias("bands"))
     placed = classes.join(components, F.col("e") == F.col("node"), "left").select("e", "w", F.explode("bands").alias("key"), F.coalesce("component", "e").alias("component"))
     placed = materialize(placed, "paragraph-members")
@@ -161,9 +161,9 @@ def _across(lines: DataFrame, tested: DataFrame, texts: DataFrame, components: D
     if open_.isEmpty():
         return tested.limit(0)
     cut = _cut(open_.select("e", "w.*"), texts)
-    pairs = across_components(open_.select(F.col("e").alias("class_id"), "component"), cut.select(F.col("e").alias("class_id"), F.col("t").alias("text")), SHINGLE, percent)
     seen = tested.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    return materialize(_confirmed(pairs.join(seen, ["a", "b"], "left_anti"), cut, percent), "paragraph-links")
+    test = lambda pairs: materialize(_confirmed(pairs, cut, percent), "paragraph-links")
+    return across_components(open_.select(F.col("e").alias("class_id"), "component"), cut.select(F.col("e").alias("class_id"), F.col("t").alias("text")), SHINGLE, percent, seen, test)
 
 
 PLACE = ["doc", "sub", "fdoc", "fsub"]

@@ -74,6 +74,46 @@ def test_near_duplicates(make, k):
     assert {i: (r.n_shingles, r.component_id, r.kept) for i, r in found.items()} == {i: (len(sets[i]), expected[i], expected[i] == i) for i in sets}
 
 
+def test_near_copies_do_not_become_all_pairs(make, monkeypatch):
+    """Texts of two changed words link through those of one only, so a bucket's least text leaves nearly all alone."""
+    from pagewright.llm import minhash_dedup
+
+    draw, base = random.Random(8), words(800, 112).split()
+
+    def edited(n, i):
+        own = list(base)
+        for j in range(n):
+            own[draw.randrange(112)] = f"changed{i}x{j}"
+        return " ".join(own)
+
+    rows = [(i, edited(1 if i % 10 == 0 else 2, i)) for i in range(300)]
+    shingles = {i: {tuple(t.split()[j : j + 4]) for j in range(109)} for i, t in rows}
+    parent = {i: i for i, _ in rows}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in shingles:
+        for j in range(i):
+            if 100 * len(shingles[i] & shingles[j]) >= 80 * len(shingles[i] | shingles[j]):
+                x, y = sorted((root(i), root(j)))
+                parent[y] = x
+    made, real = [], minhash_dedup.materialize
+
+    def counted(df, name):
+        out = real(df, name)
+        if name == "minhash-pairs":
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(minhash_dedup, "materialize", counted)
+    found = {r.doc_id: r.component_id for r in near_duplicates(make(rows), k=4).collect()}
+    assert found == {i: root(i) for i in shingles}
+    assert sum(made) < 300 * 16
+
+
 def test_near_duplicates_of_odd_rows(odd, odd_rows, spark):
     rows = near_duplicates(odd).collect()
     assert len(rows) == len(odd_rows)

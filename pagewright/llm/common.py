@@ -145,5 +145,12 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
         yield batch.slice(start)
 
 
+def pieces(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Cut record batches into some rows each, as rows that become Python objects need many times their Arrow memory."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def partitions_for(total_bytes: int, target: int, least: int = 1) -> int:
     return max(least, math.ceil(total_bytes / target))

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import materialize, released, slices
+from .common import materialize, pieces, released, slices
 from .components import connected_components
 from .minhash_dedup import across_components
 from .shingles import jaccard_counts, minhash, range_hashes, shingle_hashes, word_hashes, mix
@@ -169,10 +169,11 @@ def _across(lines: DataFrame, tested: DataFrame, texts: DataFrame, components: D
 PLACE = ["doc", "sub", "fdoc", "fsub"]
 
 
+@released
 def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Repeats of one document and one first document, joined where they touch: where the joined one starts and ends in both, and where the first one's kept occurrence ends (stop)."""
     names = [*PLACE, "start", "end", "wa", "wb", "fstart", "fend", "stop"]
-    for batch in batches:
+    for batch in pieces(batches):
         out: list[list[int]] = []
         for *place, spans in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             at = len(out)
@@ -234,7 +235,7 @@ def _tried(joined: DataFrame, texts: DataFrame, width: int, enough: int, columns
 
     @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             out = []
             for doc, sub, fdoc, fsub, start, end, wa, wb, fstart, fend, stop, left, fleft, right, fright in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 ends = [start <= width and fstart <= width, len(right) < width and len(fright) < width]
@@ -261,7 +262,7 @@ def _merged(extended: DataFrame, min_words: int) -> DataFrame:
 
     @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches):
             out: list[tuple] = []
             for doc, sub, spans in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 start, end, wa, wb, first = spans[0].values()

@@ -287,3 +287,22 @@ def test_passages_of_long_words_and_shared_ids(make):
 def test_contexts():
     assert equal_left(b"x Aa b ", b"y aa  B ") == (2, 5) and equal_right(b" a b c", b" A b d") == (2, 4)
     assert equal_left(b"", b"a") == (0, 0) == equal_left(b"b a", b"a", False)
+
+
+def test_spans_are_read_a_few_rows_at_a_time():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from pagewright.llm.paragraph_dedup import PLACE, _joined
+
+    n, spans = 10000, [{"wa": 40 * i, "wb": 40 * i + 32, "start": 300 * i, "end": 300 * i + 250, "fstart": 0, "fend": 250} for i in range(8)]
+    kind = pa.list_(pa.struct([(c, pa.int32()) for c in spans[0]]))
+    batch = pa.RecordBatch.from_arrays([*(pa.array(range(n), pa.int64()) for _ in PLACE), pa.array([spans] * n, kind)], [*PLACE, "spans"])
+    tracemalloc.start()
+    try:
+        rows = sum(b.num_rows for b in _joined(iter([batch])))
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert rows == 8 * n and most < 10e6

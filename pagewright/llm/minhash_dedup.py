@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from functools import reduce
 from math import comb
 
 import numpy as np
@@ -36,6 +37,9 @@ MISS = 1e-5
 #: Classes of a bucket with which all of it is compared in one round across components, and the share of the pairs
 #: across that a round may leave for another to follow.
 HUBS, WORTH = 4, 0.5
+#: 64-bit words of a set's sketch: for each of 64 * 8 cells of the hashes, whether the set has an odd number of shingles there.
+SKETCH = [f"s{i}" for i in range(8)]
+MEMBER = ["class_id", "component", "place", "n", *SKETCH]
 
 
 def least_matches(n: int, similarity: float, miss: float = MISS) -> int:
@@ -75,6 +79,12 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, k: int, keep: list[s
     return rows.mapInArrow(run, f"row long, doc_id long, text binary, kept {kind}, class_id long, n_shingles long, signature array<int>")
 
 
+def sketch_of(shingles: np.ndarray) -> np.ndarray:
+    """The sketch of a set: of two sets at least as many shingles are in one only as bits of their sketches differ."""
+    odd = np.bincount((shingles >> np.uint64(55)).astype(np.int64), minlength=64 * len(SKETCH)) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def among(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     """Rows whose key may be one of keys, by a bit map that travels to every task; an exact join is to follow.
 
@@ -142,7 +152,8 @@ def across_components(open_: DataFrame, texts: DataFrame, k: int, percent: int,
 
     Exact: shingles have one order for all classes, from rare to common, and two sets of the wanted similarity
     share one among the first n - ceil(percent % of n) + 1 of each.  At the first shared one, what is left of
-    either set bounds their intersection, and a pair is made only if that bound allows the similarity.  Classes
+    either set bounds their intersection, and the cells where their sketches differ each hold a shingle of one set
+    only; a pair is made only if both bounds allow the similarity.  Classes
     that a round of hubs has linked are one component in the next, and in the join that makes all pairs left.
     """
     texts = materialize(texts.join(open_, "class_id"), "minhash-open-texts")
@@ -167,7 +178,7 @@ def across_components(open_: DataFrame, texts: DataFrame, k: int, percent: int,
     @released
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, found in sets(batches):
-            owner, shingle, place, size = [], [], [], []
+            owner, shingle, place, size, sketch = [], [], [], [], []
             for i, own in enumerate(found):
                 n = len(own)
                 first = own[np.lexsort((own, common[own % np.uint64(CELLS)]))][: n - -(-percent * n // 100) + 1]
@@ -175,10 +186,13 @@ def across_components(open_: DataFrame, texts: DataFrame, k: int, percent: int,
                 shingle.append(first.view(np.int64))
                 place.append(np.arange(len(first)))
                 size.append(np.full(len(first), n))
-            at = pa.array(np.concatenate(owner).astype(np.int64))
-            yield pa.RecordBatch.from_arrays([part.column(0).take(at), part.column(2).take(at), *(pa.array(np.concatenate(x).astype(np.int64)) for x in (shingle, place, size))], ["class_id", "component", "shingle", "place", "n"])
+                sketch.append(sketch_of(own))
+            owner = np.concatenate(owner).astype(np.int64)
+            at = pa.array(owner)
+            yield pa.RecordBatch.from_arrays([part.column(0).take(at), part.column(2).take(at), *(pa.array(np.concatenate(x).astype(np.int64)) for x in (shingle, place, size)), *(pa.array(x) for x in np.stack(sketch)[owner].T)], names)
 
-    found = materialize(texts.select("class_id", "text", "component").mapInArrow(prefixes, "class_id long, component long, shingle long, place long, n long"), "minhash-prefixes")
+    names = ["class_id", "component", "shingle", "place", "n", *SKETCH]
+    found = materialize(texts.select("class_id", "text", "component").mapInArrow(prefixes, ", ".join(f"{c} long" for c in names)), "minhash-prefixes")
     tested = tested.select("a", "b")
     links, draw, last = tested.limit(0), 0, None
     while True:
@@ -188,12 +202,12 @@ def across_components(open_: DataFrame, texts: DataFrame, k: int, percent: int,
         if open_pairs <= found.count() or last is not None and open_pairs > WORTH * last:
             break
         last = open_pairs
-        hub = F.struct("class_id", "component", "place", "n")
+        hub = F.struct(*MEMBER)
         hubs = [F.min_by(hub, F.xxhash64("class_id", "shingle", F.lit(draw + i))) for i in range(HUBS)]
         hubs = found.groupBy("shingle").agg(F.array_distinct(F.array(*hubs)).alias("hubs"), F.min("component").alias("low"), F.max("component").alias("high"))
         hubs = materialize(hubs.filter("low < high").select("shingle", "hubs"), "minhash-hubs")
         draw += HUBS
-        pairs = found.join(hubs, "shingle").select(F.struct("class_id", "component", "place", "n").alias("x"), F.explode("hubs").alias("y"))
+        pairs = found.join(hubs, "shingle").select(F.struct(*MEMBER).alias("x"), F.explode("hubs").alias("y"))
         pairs = _untested(pairs.filter("x.component <> y.component"), percent, tested)
         new = test(pairs)
         links, tested = links.unionAll(new), tested.unionAll(pairs)
@@ -201,15 +215,16 @@ def across_components(open_: DataFrame, texts: DataFrame, k: int, percent: int,
         edges = ends.unionAll(new.select("a", "b")).toDF("a", "b")
         components = materialize(connected_components(edges), "minhash-components")
         found = found.drop("component").join(components.withColumnRenamed("node", "class_id"), "class_id", "left").withColumn("component", F.coalesce("component", "class_id"))
-        found = materialize(found.select("class_id", "component", "shingle", "place", "n"), "minhash-prefixes")
+        found = materialize(found.select(*names), "minhash-prefixes")
     pairs = found.alias("x").join(found.alias("y"), (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.component") < F.col("y.component")) & _reachable(percent))
     return links.unionAll(test(_untested(pairs, percent, tested)))
 
 
 def _reachable(percent: int) -> Column:
-    """Whether x and y, which share no shingle before the one at their places, may have the wanted similarity."""
-    left = F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place"))
-    return 100 * left >= percent * (F.col("x.n") + F.col("y.n") - left)
+    """Whether x and y, which share no shingle before the one at their places, may have the wanted similarity; both bounds are exact."""
+    left, total = F.least(F.col("x.n") - F.col("x.place"), F.col("y.n") - F.col("y.place")), F.col("x.n") + F.col("y.n")
+    apart = reduce(Column.__add__, [F.bit_count(F.col(f"x.{s}").bitwiseXOR(F.col(f"y.{s}"))) for s in SKETCH])
+    return (100 * left >= percent * (total - left)) & (100 * (total - apart) >= percent * (total + apart))
 
 
 def _untested(pairs: DataFrame, percent: int, tested: DataFrame) -> DataFrame:

@@ -114,6 +114,40 @@ def test_near_copies_do_not_become_all_pairs(make, monkeypatch):
     assert sum(made) < 300 * 16
 
 
+def test_texts_just_under_the_threshold_do_not_become_pairs(spark):
+    """Every two of these share most of their shingles and few reach the threshold, so no round of links joins them."""
+    from pagewright.llm import minhash_dedup
+
+    draw, base, member = random.Random(9), words(801, 112).split(), getattr(minhash_dedup, "MEMBER", ["class_id", "component", "place", "n"])
+    sets, rows = {}, []
+    for i in range(60):
+        own = list(base)
+        for j in draw.sample(range(112), 2 if i % 9 else 1):
+            own[j] = f"changed{i}x{j}"
+        hashes, _, _, _ = word_hashes([" ".join(own).encode()])
+        sets[i] = shingle_hashes(hashes, 4)
+        sketch = minhash_dedup.sketch_of(sets[i]).tolist() if hasattr(minhash_dedup, "sketch_of") else []
+        rows.append((i, i, 0, len(sets[i]), *sketch))
+    found = spark.createDataFrame(rows, ", ".join(f"{c} long" for c in member))
+    pairs = found.alias("x").crossJoin(found.alias("y")).filter("x.class_id > y.class_id")
+    made = {(r.a, r.b) for r in minhash_dedup._untested(pairs, 80, spark.createDataFrame([], "a long, b long")).collect()}
+    counts = {(a, b): jaccard_counts(sets[a], sets[b]) for a in sets for b in range(a)}
+    real = {pair for pair, (shared, union) in counts.items() if 100 * shared >= 80 * union}
+    assert real and real <= made
+    assert len(made) < 0.2 * len(counts) + len(real)
+
+
+def test_sketches_bound_the_difference():
+    from pagewright.llm.minhash_dedup import sketch_of
+
+    draw = np.random.default_rng(4)
+    for n, own in ((1, 0), (5, 3), (300, 20), (5000, 4000)):
+        both, x, y = (draw.integers(0, 1 << 64, m, np.uint64) for m in (n, own, 2 * own))
+        differ = sketch_of(np.concatenate([both, x])) ^ sketch_of(np.concatenate([both, y]))
+        assert 0 <= sum(int(v).bit_count() for v in differ.view(np.uint64)) <= 3 * own
+        assert len(differ) == 8 and (own == 0) == (not differ.any())
+
+
 def test_near_duplicates_of_odd_rows(odd, odd_rows, spark):
     rows = near_duplicates(odd).collect()
     assert len(rows) == len(odd_rows)

@@ -85,13 +85,13 @@ def sketch_of(shingles: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
-def among(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """Rows whose key may be one of keys, by a bit map that travels to every task; an exact join is to follow.
+def among(rows: DataFrame, keys: DataFrame, *key: str) -> DataFrame:
+    """Rows whose key columns may be those of a row of keys, by a bit map that travels to every task; an exact join is to follow.
 
     Of wide rows only those that the join will keep are then shuffled for it; a full bit map costs shuffle, never results.
     """
     columns = rows.columns
-    shared = rows.sparkSession.sparkContext.broadcast(bit_map(keys.select(F.xxhash64(key).alias("gram"))))
+    shared = rows.sparkSession.sparkContext.broadcast(bit_map(keys.select(F.xxhash64(*key).alias("gram"))))
 
     @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,7 +99,7 @@ def among(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
             there = inside(shared.value, batch.column(batch.num_columns - 1).to_numpy())
             yield batch.filter(pa.array(there)).select(columns)
 
-    return rows.withColumn("__cell", F.xxhash64(key)).mapInArrow(run, rows.schema)
+    return rows.withColumn("__cell", F.xxhash64(*key)).mapInArrow(run, rows.schema)
 
 
 def likely(pairs: DataFrame, classes: DataFrame, similarity: float) -> DataFrame:

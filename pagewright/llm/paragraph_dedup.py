@@ -24,10 +24,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import materialize, pieces, released, slices
+from .common import materialize, pieces, released, settled, slices
 from .components import connected_components
-from .minhash_dedup import across_components
+from .minhash_dedup import across_components, among
 from .shingles import jaccard_counts, minhash, range_hashes, shingle_hashes, word_hashes, mix
+from .suffix_tree import bit_map, inside
 
 MIN_WORDS, SHINGLE, PERCENT = 50, 5, 80
 #: Words of a run; winnowing looks at MIN_WORDS - RUN + 1 neighbouring runs.
@@ -117,6 +118,35 @@ def _listed(docs: DataFrame, min_words: int) -> DataFrame:
     return docs.mapInArrow(run, "e long, doc long, sub long, start int, end int, wa int, wb int, bands array<long>, repeated boolean, fresh boolean")
 
 
+def _candidates(rows: DataFrame, min_words: int) -> DataFrame:
+    """Passages of _listed that are lines or repeated, or that share a key, with the keys that others may share (none unless fresh).
+
+    A key is a content or band hash.  Most are of one passage only, so they are counted without it, and a bit map
+    of those of several drops nearly all others before passages are shuffled; a full one costs shuffle, never results.
+    """
+    listed = materialize(_listed(rows, min_words), "paragraphs")
+    keys = F.explode(F.when(F.col("bands").isNull(), F.array("e")).otherwise(F.concat(F.array("e"), "bands")))
+    counted = listed.filter("fresh").select(keys.alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    shared = rows.sparkSession.sparkContext.broadcast(bit_map(materialize(counted.filter("n > 1").select("gram"), "paragraph-keys")))
+
+    @released
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bands, n = batch.column("bands"), batch.num_rows
+            lined, fresh, repeated = (x.to_numpy(zero_copy_only=False) for x in (bands.is_valid(), batch.column("fresh"), batch.column("repeated")))
+            keys = np.concatenate([batch.column("e").to_numpy(), bands.flatten().to_numpy()])
+            at = np.concatenate([np.arange(n), np.repeat(np.flatnonzero(lined), BANDS)])
+            hit = inside(shared.value, keys) & fresh[at]
+            at, keys = at[hit], keys[hit]
+            count = np.bincount(at, minlength=n)
+            ends = np.concatenate([[0], np.cumsum(count)]).astype(np.int32)
+            found = pa.ListArray.from_arrays(pa.array(ends), pa.array(keys[np.argsort(at, kind="stable")]))
+            kept = pa.RecordBatch.from_arrays([*batch.columns, found], [*batch.schema.names, "keys"])
+            yield kept.filter(pa.array((count > 0) | lined | repeated))
+
+    return listed.mapInArrow(run, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in listed.schema) + ", keys array<long>")
+
+
 def told_apart(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Column]:
     """(doc, sub, text) of rows with an id, and the expression of sub: texts that share an id have hashes of their own there.
 
@@ -130,7 +160,8 @@ def told_apart(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame,
 
 def _cut(wanted: DataFrame, texts: DataFrame) -> DataFrame:
     """(e, t): the passages wanted (e, doc, sub, start, end), as they stand in texts."""
-    return materialize(texts.join(wanted, ["doc", "sub"]).select("e", F.substring("text", F.col("start") + 1, F.col("end") - F.col("start")).alias("t")).dropDuplicates(["e"]), "paragraph-lines")
+    wanted = materialize(wanted, "paragraph-wanted")
+    return materialize(among(texts, wanted, "doc", "sub").join(wanted, ["doc", "sub"]).select("e", F.substring("text", F.col("start") + 1, F.col("end") - F.col("start")).alias("t")).dropDuplicates(["e"]), "paragraph-lines")
 
 
 def _confirmed(named: DataFrame, cut: DataFrame, percent: int) -> DataFrame:
@@ -226,10 +257,14 @@ def _extended(joined: DataFrame, texts: DataFrame, enough: int) -> DataFrame:
 
 def _tried(joined: DataFrame, texts: DataFrame, width: int, enough: int, columns: list[str]) -> DataFrame:
     around = lambda s, e: (F.substring("text", F.greatest(F.col(s) + 1 - width, F.lit(1)), F.least(F.col(s), F.lit(width))), F.substring("text", F.col(e) + 1, width))
+    first_texts = texts
+    if width > CONTEXT:  # few are tried again
+        first_texts = among(texts, joined.select(F.col("fdoc").alias("doc"), F.col("fsub").alias("sub")), "doc", "sub")
+        texts = among(texts, joined, "doc", "sub")
     left, right = around("start", "end")
     own = joined.join(texts, ["doc", "sub"]).withColumn("left", left).withColumn("right", right).drop("text")
     left, right = around("fstart", "fend")
-    both = own.join(texts.withColumnRenamed("doc", "fdoc").withColumnRenamed("sub", "fsub"), ["fdoc", "fsub"]).withColumn("fleft", left).withColumn("fright", right)
+    both = own.join(first_texts.withColumnRenamed("doc", "fdoc").withColumnRenamed("sub", "fsub"), ["fdoc", "fsub"]).withColumn("fleft", left).withColumn("fright", right)
     both = both.select(*columns, "left", "fleft", "right", "fright")
     schema = pa.schema([*((c, pa.int64() if c in PLACE else pa.int32()) for c in columns), ("settled", pa.bool_())])
 
@@ -290,9 +325,8 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     first_doc_id, and a row has at least `min_words` words.
     """
     rows, _ = told_apart(docs, id_col, text_col)
-    listed = materialize(_listed(rows, min_words), "paragraphs")
-    keys = F.explode(F.when(F.col("bands").isNull(), F.array("e")).otherwise(F.concat(F.array("e"), "bands")))
-    keyed = listed.filter("fresh").select(keys.alias("key"), *OWN)
+    listed = settled(docs.sparkSession, lambda: _candidates(rows, min_words), "paragraph-candidates")
+    keyed = listed.select(F.explode("keys").alias("key"), *OWN)
     group = Window.partitionBy("key").orderBy("doc", "sub", "start", "end", "e")
     place = F.struct(*OWN)
     met = keyed.withColumn("p", F.first(place).over(group.rowsBetween(Window.unboundedPreceding, 0))).withColumn("q", F.lag(place).over(group)).filter("q is not null")
@@ -300,8 +334,9 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     met = materialize(met.withColumn("other", other).select(*OWN, *[F.col(f"other.{c}").alias(f"p{c}") for c in OWN]), "paragraph-pairs")
     equal, near = met.filter("e = pe"), met.filter("e <> pe").distinct()
     involved = met.select("doc", "sub").unionAll(met.select("pdoc", "psub")).unionAll(listed.filter("repeated").select("doc", "sub")).distinct()
-    # the only time that whole texts are shuffled; repeated rows are one
-    texts = materialize(_once(rows.join(involved, ["doc", "sub"], "left_semi")), "paragraph-texts")
+    involved = materialize(involved, "paragraph-involved")
+    # repeated rows are one
+    texts = materialize(_once(among(rows, involved, "doc", "sub").join(involved, ["doc", "sub"], "left_semi")), "paragraph-texts")
     sides = [near.select(*[F.col(f"{p}{c}").alias(c) for c in OWN[:5]]) for p in ("", "p")]
     wanted = sides[0].unionAll(sides[1]).groupBy("e").agg(F.min(F.struct(*OWN[1:5])).alias("w")).select("e", "w.*")
     tested = near.select(F.col("e").alias("a"), F.col("pe").alias("b")).distinct()

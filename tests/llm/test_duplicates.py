@@ -298,6 +298,27 @@ def test_repeated_passages_of_odd_rows(odd, odd_rows, spark):
     assert repeated_passages(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_passages_of_one_place_are_not_shuffled(make):
+    """Of the listed passages only those travel that are lines, repeated or share a key, each with the keys it shares."""
+    from pagewright.llm import paragraph_dedup
+
+    shared = words(70, 90)
+    rows = [(i, "\n".join([words(71 + 3 * i, 30), shared if i in (2, 9) else words(72 + 3 * i, 45), words(73 + 3 * i, 40)])) for i in range(24)]
+    texts = paragraph_dedup.told_apart(make(rows), "doc_id", "text")[0]
+    every = paragraph_dedup._listed(texts, 50).collect()
+    held = {}
+    for r in every:
+        for key in [r.e, *(r.bands or [])] if r.fresh else []:
+            held.setdefault(key, []).append(r)
+    found = {(r.doc, r.wa, r.wb): r for r in paragraph_dedup._candidates(texts, 50).collect()}
+    for r in every:
+        keys = {k for k in [r.e, *(r.bands or [])] if r.fresh and len(held[k]) > 1}
+        kept = found.get((r.doc, r.wa, r.wb))
+        assert kept is not None if keys or r.repeated or r.bands else kept is None or kept["keys"]
+        assert kept is None or keys <= set(kept["keys"])
+    assert {2, 9} <= {doc for doc, _, _ in found} and len(found) < 0.3 * len(every)
+
+
 def test_winnowing_promise():
     shared = words(1, 50)
     texts = [(words(10 + i, i * 3) + " " + shared + " " + words(50 + i, 7)).encode() for i in range(12)]

@@ -21,6 +21,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 SLICE_BYTES = 1 << 20
 #: Spark's setting by which the shuffle files of a query are removed when it has ended.
 CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Spark's bound of the rows it sends to a worker at once, as the JVM and the worker both hold them; Spark's own is 64 MB.
+BATCH_BYTES, MOST_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20)
 _written: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("written", default=None)
 
 
@@ -46,19 +48,23 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write df once as Parquet in the shared scratch folder and read it back.
 
     Cuts the lineage so that a lost executor costs a re-read, not a recomputation, and keeps an
-    iterative plan small; the shuffle files of the write go as soon as it has ended.  The table lives until the
+    iterative plan small; the shuffle files of the write go as soon as it has ended, and Python workers get rows
+    in batches of MOST_BATCH bytes.  The table lives until the
     `settled` call around it ends, or until `clear_scratch`.
     """
     spark = df.sparkSession
     path = f"{_home(spark)}/{name}-{uuid.uuid4().hex}"
     if (paths := _written.get()) is not None:
         paths.append(path)
-    before = spark.conf.get(CLEAN_SHUFFLES, None)
-    spark.conf.set(CLEAN_SHUFFLES, "true")
+    wanted = {CLEAN_SHUFFLES: "true", BATCH_BYTES: MOST_BATCH}
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
     try:
         df.write.parquet(path)
     finally:
-        spark.conf.unset(CLEAN_SHUFFLES) if before is None else spark.conf.set(CLEAN_SHUFFLES, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     return spark.read.schema(df.schema).parquet(path)
 
 

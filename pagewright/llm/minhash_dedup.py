@@ -194,12 +194,16 @@ def across_components(open_: DataFrame, texts: DataFrame, k: int, percent: int,
     names = ["class_id", "component", "shingle", "place", "n", *SKETCH]
     found = materialize(texts.select("class_id", "text", "component").mapInArrow(prefixes, ", ".join(f"{c} long" for c in names)), "minhash-prefixes")
     tested = tested.select("a", "b")
-    links, draw, last = tested.limit(0), 0, None
+    links, draw, last, rows = tested.limit(0), 0, None, None
     while True:
         # the pairs across components that the buckets hold, at most
         sizes = found.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("m")).groupBy("shingle").agg(F.sum("m").alias("m"), F.sum(F.col("m") * F.col("m")).alias("own"))
+        sizes = materialize(sizes.filter("m * m > own"), "minhash-sizes")
         open_pairs = sizes.agg(F.sum((F.col("m") * F.col("m") - F.col("own")) / 2)).first()[0] or 0
-        if open_pairs <= found.count() or last is not None and open_pairs > WORTH * last:
+        if rows is None:
+            # components only grow, so a shingle that one of them has to itself makes no pair later either
+            rows, found = found.count(), materialize(among(found, sizes, "shingle"), "minhash-prefixes")
+        if open_pairs <= rows or last is not None and open_pairs > WORTH * last:
             break
         last = open_pairs
         hub = F.struct(*MEMBER)

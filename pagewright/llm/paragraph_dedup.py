@@ -14,7 +14,6 @@ several components in a bucket, its lines go through an exact prefix-filtered jo
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from functools import reduce
 
@@ -42,7 +41,6 @@ CONTEXT, WIDER = 1024, 64
 SEEN = 1 << 18
 OWN = ["e", "doc", "sub", "start", "end", "wa", "wb"]
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
-_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
 def winnowed(words: np.ndarray, offsets: np.ndarray, run: int, window: int) -> np.ndarray:
@@ -147,15 +145,15 @@ def _candidates(rows: DataFrame, min_words: int) -> DataFrame:
     return listed.mapInArrow(run, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in listed.schema) + ", keys array<long>")
 
 
-def told_apart(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Column]:
-    """(doc, sub, text) of rows with an id, and the expression of sub: texts that share an id have hashes of their own there.
+def told_apart(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, Column, bool]:
+    """(doc, sub, text) of rows with an id, the expression of sub, and whether rows share an id: texts that share one have hashes of their own in sub.
 
     Where no id is shared, sub is 0 throughout and costs next to nothing on the way.
     """
     ids = docs.filter(F.col(id_col).isNotNull())
     shared = not ids.groupBy(id_col).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty()
     sub = F.xxhash64(F.col(text_col).cast("string")) if shared else F.lit(0).cast("long")
-    return ids.select(F.col(id_col).cast("long").alias("doc"), sub.alias("sub"), F.col(text_col).cast("binary").alias("text")), sub
+    return ids.select(F.col(id_col).cast("long").alias("doc"), sub.alias("sub"), F.col(text_col).cast("binary").alias("text")), sub, shared
 
 
 def _cut(wanted: DataFrame, texts: DataFrame) -> DataFrame:
@@ -184,11 +182,14 @@ def _confirmed(named: DataFrame, cut: DataFrame, percent: int) -> DataFrame:
 
 def _across(lines: DataFrame, tested: DataFrame, texts: DataFrame, components: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between the components that lines of one band bucket are still in, by an exact join, as many as it takes to leave none across; none of the pairs in tested."""
-    classes = lines.groupBy("e").agg(F.min(F.struct("doc", "sub", "start", "end")).alias("w"), F.first("bands").alias("bands"))
-    placed = classes.join(components, F.col("e") == F.col("node"), "left").select("e", "w", F.explode("bands").alias("key"), F.coalesce("component", "e").alias("component"))
-    placed = materialize(placed, "paragraph-members")
-    split = materialize(placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("key"), "paragraph-split")
-    open_ = materialize(placed.join(split, "key", "left_semi").select("e", "w", "component").distinct(), "paragraph-open")
+    # a band key that no other passage has splits nothing, nor does the content's
+    shared = lines.withColumn("keys", F.filter("keys", lambda k: k != F.col("e"))).filter(F.size("keys") > 0)
+    classes = shared.groupBy("e").agg(F.min(F.struct("doc", "sub", "start", "end")).alias("w"), F.first("keys").alias("keys"))
+    placed = materialize(classes.join(components, F.col("e") == F.col("node"), "left").select("e", "w", "keys", F.coalesce("component", "e").alias("component")), "paragraph-members")
+    banded = placed.select(F.explode("keys").alias("key"), "e", "component")
+    split = materialize(banded.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("key"), "paragraph-split")
+    held = materialize(among(banded, split, "key").join(split, "key", "left_semi").select("e").distinct(), "paragraph-held")
+    open_ = materialize(placed.select("e", "w", "component").join(held, "e", "left_semi"), "paragraph-open")
     if open_.isEmpty():
         return tested.limit(0)
     cut = _cut(open_.select("e", "w.*"), texts)
@@ -205,34 +206,46 @@ def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Repeats of one document and one first document, joined where they touch: where the joined one starts and ends in both, and where the first one's kept occurrence ends (stop)."""
     names = [*PLACE, "start", "end", "wa", "wb", "fstart", "fend", "stop"]
     for batch in pieces(batches):
-        out: list[list[int]] = []
-        for *place, spans in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            at = len(out)
-            for s in spans:
-                if len(out) > at and s["wa"] <= out[-1][7]:
-                    if s["wb"] > out[-1][7]:
-                        out[-1][5], out[-1][7], out[-1][9] = s["end"], s["wb"], s["fend"]
-                else:
-                    out.append([*place, s["start"], s["end"], s["wa"], s["wb"], s["fstart"], s["fend"], s["fend"]])
-        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.int64() if i < 4 else pa.int32()) for i in range(11)], names)
+        spans = batch.column("spans")
+        row = np.repeat(np.arange(batch.num_rows), spans.value_lengths().to_numpy())
+        if not len(row):
+            continue
+        kind = spans.type.value_type
+        own = dict(zip((kind.field(i).name for i in range(kind.num_fields)), (x.to_numpy() for x in spans.flatten().flatten()), strict=True))
+        # spans stand in order of wa; each row's words lie above those of the row before
+        lift = row * (np.int64(1) << 32)
+        most = np.maximum.accumulate(lift + own["wb"])
+        first = np.concatenate([[True], lift[1:] + own["wa"][1:] > most[:-1]])
+        longest = np.flatnonzero(first | np.concatenate([[True], most[1:] > most[:-1]]))
+        first = np.flatnonzero(first)
+        last = longest[np.concatenate([np.searchsorted(longest, first[1:]), [len(longest)]]) - 1]
+        of = pa.array(row[first])
+        taken = [("start", first), ("end", last), ("wa", first), ("wb", last), ("fstart", first), ("fend", last), ("fend", first)]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c).take(of) for c in PLACE), *(pa.array(own[c][at].astype(np.int32)) for c, at in taken)], names)
 
 
 def equal_left(x: bytes, y: bytes, whole: bool = True) -> tuple[int, int]:
     """(words, bytes) by which two contexts agree backwards from their ends; unless they are whole, a first word may be cut and is not used."""
-    a, b = (list(_WORD.finditer(t.translate(_LOWER)))[0 if whole else 1 :] for t in (x, y))
-    n = 0
-    while n < min(len(a), len(b)) and a[-1 - n][0] == b[-1 - n][0]:
+    a, b = (t.translate(_LOWER).split()[0 if whole else 1 :] for t in (x, y))
+    n, at = 0, len(x)
+    while n < min(len(a), len(b)) and a[-1 - n] == b[-1 - n]:
         n += 1
-    return n, len(x) - a[-n].start() if n else 0
+    low = x.translate(_LOWER)
+    for word in a[len(a) - n :][::-1]:
+        at = low.rfind(word, 0, at)
+    return n, len(x) - at
 
 
 def equal_right(x: bytes, y: bytes, whole: bool = True) -> tuple[int, int]:
     """(words, bytes) by which two contexts agree forwards; unless they are whole, a last word may be cut and is not used."""
-    a, b = (list(_WORD.finditer(t.translate(_LOWER)))[: None if whole else -1] for t in (x, y))
-    n = 0
-    while n < min(len(a), len(b)) and a[n][0] == b[n][0]:
+    a, b = (t.translate(_LOWER).split()[: None if whole else -1] for t in (x, y))
+    n, at = 0, 0
+    while n < min(len(a), len(b)) and a[n] == b[n]:
         n += 1
-    return n, a[n - 1].end() if n else 0
+    low = x.translate(_LOWER)
+    for word in a[:n]:
+        at = low.find(word, at) + len(word)
+    return n, at
 
 
 def _extended(joined: DataFrame, texts: DataFrame, enough: int) -> DataFrame:
@@ -281,7 +294,7 @@ def _tried(joined: DataFrame, texts: DataFrame, width: int, enough: int, columns
                 if (doc, sub) == (fdoc, fsub) and fend <= start:
                     fright = fright[: max(0, start - before - fend)]
                 yet, after = equal_right(right, fright, ends[1])
-                seen = [n < enough and not end and n + 1 >= min(len(_WORD.findall(x)), len(_WORD.findall(y))) for n, end, x, y in ((more, ends[0], left, fleft), (yet, ends[1], right, fright))]
+                seen = [n < enough and not end and n + 1 >= min(len(x.split()), len(y.split())) for n, end, x, y in ((more, ends[0], left, fleft), (yet, ends[1], right, fright))]
                 if any(seen):
                     out.append((doc, sub, fdoc, fsub, start, end, wa, wb, fstart, fend, stop, False))
                 else:
@@ -324,40 +337,51 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     their own if their texts differ, told apart by sub, and one document if not.  Ranges of one document that touch are one row with the least
     first_doc_id, and a row has at least `min_words` words.
     """
-    rows, _ = told_apart(docs, id_col, text_col)
-    listed = settled(docs.sparkSession, lambda: _candidates(rows, min_words), "paragraph-candidates")
+    spark = docs.sparkSession
+    rows, _, shared = told_apart(docs, id_col, text_col)
+    listed = settled(spark, lambda: _candidates(rows, min_words), "paragraph-candidates")
     keyed = listed.select(F.explode("keys").alias("key"), *OWN)
     group = Window.partitionBy("key").orderBy("doc", "sub", "start", "end", "e")
     place = F.struct(*OWN)
     met = keyed.withColumn("p", F.first(place).over(group.rowsBetween(Window.unboundedPreceding, 0))).withColumn("q", F.lag(place).over(group)).filter("q is not null")
     other = F.explode(F.when((F.col("p") == F.col("q")) | (F.col("p.e") == F.col("e")), F.array("p")).otherwise(F.array("p", "q")))
     met = materialize(met.withColumn("other", other).select(*OWN, *[F.col(f"other.{c}").alias(f"p{c}") for c in OWN]), "paragraph-pairs")
-    equal, near = met.filter("e = pe"), met.filter("e <> pe").distinct()
     involved = met.select("doc", "sub").unionAll(met.select("pdoc", "psub")).unionAll(listed.filter("repeated").select("doc", "sub")).distinct()
     involved = materialize(involved, "paragraph-involved")
-    # repeated rows are one
-    texts = materialize(_once(among(rows, involved, "doc", "sub").join(involved, ["doc", "sub"], "left_semi")), "paragraph-texts")
+    texts = among(rows, involved, "doc", "sub")
+    # joins read them, so a few too many do no harm; repeated rows are one
+    texts = materialize(_once(texts.join(involved, ["doc", "sub"], "left_semi")) if shared else texts, "paragraph-texts")
+    joined = settled(spark, lambda: _repeats(listed, met, texts, min_words, percent), "paragraph-joined")
+    return _merged(_extended(joined, texts, min_words - RUN + 1), min_words)
+
+
+def _repeats(listed: DataFrame, met: DataFrame, texts: DataFrame, min_words: int, percent: int) -> DataFrame:
+    """Every repeat of a component's first occurrence, as _joined has them, from the passages listed and the pairs that met."""
+    equal, near = met.filter("e = pe"), met.filter("e <> pe").distinct()
     sides = [near.select(*[F.col(f"{p}{c}").alias(c) for c in OWN[:5]]) for p in ("", "p")]
     wanted = sides[0].unionAll(sides[1]).groupBy("e").agg(F.min(F.struct(*OWN[1:5])).alias("w")).select("e", "w.*")
     tested = near.select(F.col("e").alias("a"), F.col("pe").alias("b")).distinct()
     links = materialize(_confirmed(tested, _cut(wanted, texts), percent), "paragraph-links")
     components = materialize(connected_components(links), "paragraph-components")
     lines = listed.filter("fresh and bands is not null")
-    more = _across(lines, tested, texts, components, percent)
+    more = settled(listed.sparkSession, lambda: _across(lines, tested, texts, components, percent), "paragraph-more")
     if not more.isEmpty():
         components = materialize(connected_components(links.unionAll(more)), "paragraph-components")
     linked = near.join(links, (F.col("e") == F.col("a")) & (F.col("pe") == F.col("b")), "left_semi")
     firsts_of = [F.col(f"p{c}").alias(c) for c in OWN]
     late = lines.select(*OWN).join(more.select(F.explode(F.array("a", "b")).alias("e")).distinct(), "e", "left_semi")
-    found = [equal.select(*OWN), equal.select(*firsts_of), linked.select(*OWN), linked.select(*firsts_of), listed.filter("repeated").select(*OWN), late]
-    occurrences = reduce(DataFrame.unionAll, found).distinct()
-    placed = materialize(occurrences.join(components, F.col("e") == F.col("node"), "left").select(F.coalesce("component", "e").alias("c"), *OWN[1:]), "paragraph-occurrences")
+    found = [equal.select(*OWN), equal.select(*firsts_of), linked.select(*OWN), linked.select(*firsts_of), late]
+    # an occurrence may be listed twice here; minima and sets below take it once
+    occurrences = reduce(DataFrame.unionAll, found).distinct().unionAll(listed.filter("repeated").select(*OWN))
+    # links are between lines, and shorter passages are runs
+    is_line = F.col("wb") - F.col("wa") >= min_words
+    of_lines = occurrences.filter(is_line).join(components, F.col("e") == F.col("node"), "left").select(F.coalesce("component", "e").alias("c"), *OWN[1:])
+    placed = materialize(of_lines.unionAll(occurrences.filter(~is_line).select(F.col("e").alias("c"), *OWN[1:])), "paragraph-occurrences")
     firsts = placed.groupBy("c").agg(F.min(F.struct("doc", "sub", "start", "end")).alias("f")).select("c", *[F.col(f"f.{c}").alias(f"f{c}") for c in ("doc", "sub", "start", "end")])
     firsts = materialize(firsts, "paragraph-firsts")  # written first, so that the join stands alone and a component of any size can be split
     extra = placed.join(firsts, "c").filter("doc <> fdoc or sub <> fsub or start >= fend")
     spans = extra.groupBy(*PLACE).agg(F.array_sort(F.collect_set(F.struct("wa", "wb", "start", "end", "fstart", "fend"))).alias("spans"))
-    joined = spans.mapInArrow(_joined, "doc long, sub long, fdoc long, fsub long, start int, end int, wa int, wb int, fstart int, fend int, stop int")
-    return _merged(_extended(materialize(joined, "paragraph-joined"), texts, min_words - RUN + 1), min_words)
+    return spans.mapInArrow(_joined, "doc long, sub long, fdoc long, fsub long, start int, end int, wa int, wb int, fstart int, fend int, stop int")
 
 
 def _once(texts: DataFrame) -> DataFrame:
@@ -383,7 +407,7 @@ def remove_passages(docs: DataFrame, repeats: DataFrame, id_col: str = "doc_id",
     Texts without a range are unchanged, null and empty ones too; a text of which only white space is left is
     dropped with its row.  Rows that share an id and a text are cut alike.
     """
-    _, sub = told_apart(docs, id_col, text_col)
+    _, sub, _ = told_apart(docs, id_col, text_col)
     cuts = repeats.groupBy(F.col("doc_id").alias("__id"), F.col("sub").alias("__sub")).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("__cuts"))
     joined = docs.join(cuts, (F.col(id_col).cast("long") == F.col("__id")) & (sub == F.col("__sub")), "left")
     raw = F.col(text_col).cast("binary")

@@ -361,3 +361,67 @@ def test_spans_are_read_a_few_rows_at_a_time():
     finally:
         tracemalloc.stop()
     assert rows == 8 * n and most < 10e6
+
+
+def test_spans_are_joined_as_one_by_one():
+    import pyarrow as pa
+
+    from pagewright.llm.paragraph_dedup import PLACE, _joined
+
+    draw = random.Random(5)
+    rows, expected = [], []
+    for doc in range(700):
+        spans = sorted({(a := draw.randrange(300), a + draw.randrange(1, 40), *(draw.randrange(1000) for _ in range(4))) for _ in range(draw.randrange(1, 12))})
+        rows.append([dict(zip(("wa", "wb", "start", "end", "fstart", "fend"), x, strict=True)) for x in spans])
+        own = []
+        for wa, wb, start, end, fstart, fend in spans:
+            if own and wa <= own[-1][3]:
+                if wb > own[-1][3]:
+                    own[-1][1], own[-1][3], own[-1][5] = end, wb, fend
+            else:
+                own.append([start, end, wa, wb, fstart, fend, fend])
+        expected += [(doc, 1, 2, 3, *x) for x in own]
+    kind = pa.list_(pa.struct([(c, pa.int32()) for c in rows[0][0]]))
+    places = [pa.array(range(700), pa.int64()), *(pa.array([i] * 700, pa.int64()) for i in (1, 2, 3))]
+    batch = pa.RecordBatch.from_arrays([*places, pa.array(rows, kind)], [*PLACE, "spans"])
+    found = [tuple(r.values()) for b in _joined(iter([batch.slice(0, 500), batch.slice(500)])) for r in b.to_pylist()]
+    assert found == expected
+
+
+def test_only_what_others_share_is_joined_across(make, monkeypatch):
+    """Lines whose bands nobody else has reach no join across components, nor do texts go through a join where no id is shared."""
+    from pagewright.llm import minhash_dedup, paragraph_dedup
+
+    held = {}
+
+    def seen(df, name, materialize=paragraph_dedup.materialize):
+        out = materialize(df, name)
+        held.setdefault(name, []).append((out.count(), df._jdf.queryExecution().executedPlan().toString() if name == "paragraph-texts" else ""))
+        return out
+
+    monkeypatch.setattr(paragraph_dedup, "materialize", seen)
+    monkeypatch.setattr(minhash_dedup, "materialize", seen)
+    line = words(3000, 90)
+    rows = [(i, words(3001 + i, 80)) for i in range(60)] + [(100, line), (101, near_copies(2, line, 1, 1)[0])]
+    assert {r.doc_id for r in repeated_passages(make(rows)).collect()} == {101}
+    (members, _), *_ = held["paragraph-members"]
+    assert members <= 10 and not any("Join" in plan for _, plan in held["paragraph-texts"])
+
+
+def test_shingles_of_one_component_reach_no_join(spark, monkeypatch):
+    from pagewright.llm import minhash_dedup
+
+    held = {}
+
+    def seen(df, name, materialize=minhash_dedup.materialize):
+        out = materialize(df, name)
+        held.setdefault(name, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(minhash_dedup, "materialize", seen)
+    a, b = words(3100, 120), words(3101, 120)
+    texts = [(1, a), (2, a + " x"), (3, b), (4, words(3102, 120)), (5, words(3103, 120))]
+    open_ = spark.createDataFrame([(1, 1), (2, 2), (3, 3), (4, 4), (5, 5)], "class_id long, component long")
+    pairs = minhash_dedup.across_components(open_, spark.createDataFrame([(i, t.encode()) for i, t in texts], "class_id long, text binary"), 5, 80, spark.createDataFrame([], "a long, b long"), lambda p: p)
+    assert [(r.a, r.b) for r in pairs.collect()] == [(2, 1)]
+    assert held["minhash-prefixes"][-1] < 0.5 * held["minhash-prefixes"][0]

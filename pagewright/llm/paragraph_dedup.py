@@ -194,7 +194,8 @@ def _across(lines: DataFrame, tested: DataFrame, texts: DataFrame, components: D
         return tested.limit(0)
     cut = _cut(open_.select("e", "w.*"), texts)
     seen = tested.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    test = lambda pairs: materialize(_confirmed(pairs, cut, percent), "paragraph-links")
+    ends = lambda pairs: pairs.select(F.explode(F.array("a", "b")).alias("e"))
+    test = lambda pairs: materialize(_confirmed(pairs, among(cut, ends(pairs), "e"), percent), "paragraph-links")
     return across_components(open_.select(F.col("e").alias("class_id"), "component"), cut.select(F.col("e").alias("class_id"), F.col("t").alias("text")), SHINGLE, percent, seen, test)
 
 

@@ -49,16 +49,17 @@ def shuffle_into_shards(docs: DataFrame, n_shards: int, id_col: str = "doc_id",
     before = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("__bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__offset"), F.sum("count").over(Window.partitionBy()).alias("__total"))
     keep = docs.columns
-    rows = docs.select(F.struct(*keep).alias("kept"), F.col(text_col).alias("tie"), scattered.alias("hash")).withColumn("__bucket", F.pmod("hash", F.lit(n_buckets)).cast("int")).join(offsets, "__bucket")
+    rows = docs.select(F.struct(*keep).alias("kept"), scattered.alias("hash")).withColumn("__bucket", F.pmod("hash", F.lit(n_buckets)).cast("int")).join(offsets, "__bucket")
 
     def shuffle(table: pa.Table) -> pa.Table:
-        base = {"hash": table["hash"], "tie": pc.fill_null(table["tie"].cast(pa.large_binary()), b"")}
+        columns = table["kept"].combine_chunks().flatten()
+        base = {"hash": table["hash"], "tie": pc.fill_null(columns[keep.index(text_col)].cast(pa.large_binary()), b"")}
         order = pc.sort_indices(pa.table(base), sort_keys=[("hash", "ascending"), ("tie", "ascending")]).to_numpy()
         number, offset, total = (table[c][0].as_py() for c in ("__bucket", "__offset", "__total"))
         dealt = order[np.random.Generator(np.random.PCG64([seed, number])).permutation(table.num_rows)]  # Fisher-Yates
         place = offset + np.arange(table.num_rows, dtype=np.int64)
         shard = ((place + 1) * n_shards - 1) // total
-        return pa.Table.from_arrays(table["kept"].combine_chunks().flatten(), keep).take(pa.array(dealt)).append_column("shard", pa.array(shard.astype(np.int32))).append_column("slot", pa.array(place - shard * total // n_shards))
+        return pa.Table.from_arrays(columns, keep).take(pa.array(dealt)).append_column("shard", pa.array(shard.astype(np.int32))).append_column("slot", pa.array(place - shard * total // n_shards))
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
     return rows.groupBy("__bucket").applyInArrow(shuffle, f"{schema}, shard int, slot long")

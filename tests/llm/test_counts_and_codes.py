@@ -35,6 +35,14 @@ def test_shards(spark, odd, odd_rows):
     assert shuffle_into_shards(spark.createDataFrame([], SCHEMA), 3).count() == 0
 
 
+def test_shards_move_a_text_once(odd):
+    found = shuffle_into_shards(odd.select("doc_id", "text"), 3)
+    node = found._jdf.queryExecution().analyzed()
+    while "FlatMapGroupsInArrow" not in node.nodeName():
+        node = node.children().head()
+    assert node.children().head().schema().catalogString().count("string") == 1
+
+
 def test_shards_are_uniform(make):
     rows = shuffle_into_shards(make([(i, str(i)) for i in range(2000)]), 4, bucket_bytes=64).collect()
     low = Counter(r.shard for r in rows if r.doc_id < 1000)

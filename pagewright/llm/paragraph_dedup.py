@@ -195,7 +195,8 @@ def _across(lines: DataFrame, tested: DataFrame, texts: DataFrame, components: D
     cut = _cut(open_.select("e", "w.*"), texts)
     seen = tested.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     ends = lambda pairs: pairs.select(F.explode(F.array("a", "b")).alias("e"))
-    test = lambda pairs: materialize(_confirmed(pairs, among(cut, ends(pairs), "e"), percent), "paragraph-links")
+    # written first here and in _tried: a stage with two passes of Python starts two workers a task, and Spark keeps all of them, and uses them in turn, ever after
+    test = lambda pairs: materialize(_confirmed(pairs, materialize(among(cut, ends(pairs), "e"), "paragraph-ends"), percent), "paragraph-links")
     return across_components(open_.select(F.col("e").alias("class_id"), "component"), cut.select(F.col("e").alias("class_id"), F.col("t").alias("text")), SHINGLE, percent, seen, test)
 
 
@@ -273,8 +274,8 @@ def _tried(joined: DataFrame, texts: DataFrame, width: int, enough: int, columns
     around = lambda s, e: (F.substring("text", F.greatest(F.col(s) + 1 - width, F.lit(1)), F.least(F.col(s), F.lit(width))), F.substring("text", F.col(e) + 1, width))
     first_texts = texts
     if width > CONTEXT:  # few are tried again
-        first_texts = among(texts, joined.select(F.col("fdoc").alias("doc"), F.col("fsub").alias("sub")), "doc", "sub")
-        texts = among(texts, joined, "doc", "sub")
+        first_texts = materialize(among(texts, joined.select(F.col("fdoc").alias("doc"), F.col("fsub").alias("sub")), "doc", "sub"), "paragraph-wider")
+        texts = materialize(among(texts, joined, "doc", "sub"), "paragraph-wider")
     left, right = around("start", "end")
     own = joined.join(texts, ["doc", "sub"]).withColumn("left", left).withColumn("right", right).drop("text")
     left, right = around("fstart", "fend")

@@ -425,3 +425,36 @@ def test_shingles_of_one_component_reach_no_join(spark, monkeypatch):
     pairs = minhash_dedup.across_components(open_, spark.createDataFrame([(i, t.encode()) for i, t in texts], "class_id long, text binary"), 5, 80, spark.createDataFrame([], "a long, b long"), lambda p: p)
     assert [(r.a, r.b) for r in pairs.collect()] == [(2, 1)]
     assert held["minhash-prefixes"][-1] < 0.5 * held["minhash-prefixes"][0]
+
+
+def test_a_stage_has_one_pass_of_python(make, monkeypatch):
+    """Two passes in one stage start two workers a task, all of which an executor keeps."""
+    from pagewright.llm import minhash_dedup, paragraph_dedup
+
+    held = {}
+
+    def passes(node) -> tuple[int, int]:
+        if node.nodeName() == "AdaptiveSparkPlan":
+            return passes(node.initialPlan())
+        below = [passes(node.children().apply(i)) for i in range(node.children().size())]
+        own, most = sum(x for x, _ in below) + ("MapIn" in node.nodeName()), max((x for _, x in below), default=0)
+        return (0 if "Exchange" in node.nodeName() else own), max(own, most)
+
+    def seen(df, name, materialize=paragraph_dedup.materialize):
+        held.setdefault(name, []).append(passes(df._jdf.queryExecution().executedPlan())[1])
+        return materialize(df, name)
+
+    monkeypatch.setattr(paragraph_dedup, "materialize", seen)
+    monkeypatch.setattr(minhash_dedup, "materialize", seen)
+    draw, template = random.Random(8), words(40, 100).split(" ")
+    rows = []
+    for i in range(40):
+        w = list(template)
+        for at in draw.sample(range(0, 100, 5), 2):
+            w[at] = f"z{draw.randrange(10**6)}x{i}"
+        rows += [(i, " ".join(w)), (100 + i, " ".join(w[:-1] + [f"y{i}"]))]
+    long = " ".join(words(2000 + i, 20).replace(" ", "")[:80].ljust(80, "q") for i in range(50))
+    rows += [(200 + i, f"{words(1200 + i, 30)} {long} {words(1300 + i, 30)}") for i in range(3)]
+    assert {201, 202} <= {r.doc_id for r in repeated_passages(make(rows)).collect()}
+    assert len(held["paragraph-links"]) > 1 < len(held["paragraph-extended"]) and held["minhash-prefixes"]
+    assert max(map(max, held.values())) == 1

@@ -23,6 +23,11 @@ def strip(c: Column | str) -> Column:
     return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
 
 
+def trim_spaces(c: Column | str) -> Column:
+    """Without Unicode spaces (category Zs) at both ends; tabs and line ends stay, and null stays null."""
+    return F.regexp_replace(c, r"^\p{Zs}+|\p{Zs}+$", "")
+
+
 def normalize_text(c: Column | str) -> Column:
     """Runs of Unicode white space as one space, none at the ends; null as empty text."""
     return F.coalesce(strip(F.regexp_replace(c, SPACES, " ")), F.lit(""))

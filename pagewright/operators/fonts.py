@@ -22,25 +22,29 @@ def body_sizes(blocks: DataFrame) -> DataFrame:
     return counted.withColumn("place", F.row_number().over(best)).filter("place = 1").select("doc_id", F.col("size").alias("body_size"))
 
 
-def heading_levels(blocks: DataFrame, bodies: DataFrame) -> DataFrame:
-    """(doc_id, size, level): distinct heading sizes, the largest first."""
-    large = blocks.join(bodies, "doc_id").filter((F.col("size") >= F.col("body_size") * HEADING) & (F.char_length(strip("text")) >= HEADING_CHARS))
+def heading_levels(blocks: DataFrame, bodies: DataFrame, clean=strip) -> DataFrame:
+    """(doc_id, size, level): distinct heading sizes, the largest first; `clean` cuts a text's ends before its length counts."""
+    large = blocks.join(bodies, "doc_id").filter((F.col("size") >= F.col("body_size") * HEADING) & (F.char_length(clean("text")) >= HEADING_CHARS))
     return large.select("doc_id", "size").distinct().withColumn("level", F.dense_rank().over(Window.partitionBy("doc_id").orderBy(F.desc("size"))))
 
 
-def classify_blocks(blocks: DataFrame, tables: DataFrame | None = None) -> DataFrame:
-    """(doc_id, page_num, idx, kind, level, text) of blocks not blank and not mostly inside a table of their page (doc_id, page_num, bbox)."""
-    blocks = blocks.filter(strip("text") != "")
+def classify_blocks(blocks: DataFrame, tables: DataFrame | None = None, clean=strip, blanks: bool = False) -> DataFrame:
+    """(doc_id, page_num, idx, kind, level, text) of blocks not blank and not mostly inside a table of their page (doc_id, page_num, bbox).
+
+    With `blanks` blank blocks are classified by their size like others; `clean` cuts a text's ends.
+    """
+    if not blanks:
+        blocks = blocks.filter(strip("text") != "")
     bodies = body_sizes(blocks)
     kept = blocks
     if tables is not None:
         boxes = tables.select("doc_id", "page_num", F.col("bbox").alias("table_box"))
         here, there = blocks.alias("b"), boxes.alias("t")
         kept = here.join(there, (F.col("b.doc_id") == F.col("t.doc_id")) & (F.col("b.page_num") == F.col("t.page_num")) & (overlap_ratio(F.col("b.bbox"), F.col("t.table_box")) > INSIDE), "left_anti")
-    sized = kept.join(bodies, "doc_id").join(heading_levels(blocks, bodies), ["doc_id", "size"], "left")
-    heading = (F.col("size") >= F.col("body_size") * HEADING) & (F.char_length(strip("text")) >= HEADING_CHARS)
+    sized = kept.join(bodies, "doc_id").join(heading_levels(blocks, bodies, clean), ["doc_id", "size"], "left")
+    heading = (F.col("size") >= F.col("body_size") * HEADING) & (F.char_length(clean("text")) >= HEADING_CHARS)
     kind = F.when(heading, "heading").when(F.col("size") <= F.col("body_size") * NOISE, "noise").otherwise("body")
-    return sized.select("doc_id", "page_num", "idx", kind.alias("kind"), F.when(heading, F.coalesce("level", F.lit(1))).alias("level"), strip("text").alias("text"))
+    return sized.select("doc_id", "page_num", "idx", kind.alias("kind"), F.when(heading, F.coalesce("level", F.lit(1))).alias("level"), clean("text").alias("text"))
 
 
 def page_texts(classified: DataFrame, pages: DataFrame) -> DataFrame:

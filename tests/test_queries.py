@@ -39,6 +39,30 @@ def test_query_equals_sql(spark, duck, name):
     assert found
 
 
+ODD = (
+    "",
+    "\n",
+    "first line of it\n\nthird   line\n \t \n\u00a0\n1. numbered\n* starred\n2. two | cells\nabc\t\n\u2003wide\u3000\nends\r\n7.\n8.\n9. \n10.  x\n11. \t|\n",
+    "* one\n2.\n* three\n4. four\n5. five\n* six\n* seven\n\t8. eight",
+    "a\n \nbcde\n" * 6,
+)
+
+
+def check_odd(spark, folder, name):
+    rows = [(i, text, "source") for i, text in enumerate((*ODD, None, *("words\n" * i + "12. end" for i in range(30))))]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").coalesce(1).write.mode("overwrite").parquet(f"{folder}/documents.parquet")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS FROM '{folder}/documents.parquet/*.parquet'")
+    expected = con.sql(registry.oracle_sql()[name])
+    found = registry.queries()[name](spark, str(folder)).select(*[f"`{c}`" for c in expected.columns]).collect()
+    assert sorted(tuple(map(flat, r)) for r in found) == sorted(tuple(map(flat, r)) for r in expected.fetchall())
+
+
+@pytest.mark.parametrize("name", ["block_classify", "page_texts", "heading_rank", "body_font_size", "document_summary"])
+def test_blocks_of_odd_texts(spark, tmp_path, name):
+    check_odd(spark, tmp_path, name)
+
+
 def test_word_joins_of_whole_texts(spark, tmp_path):
     spark.createDataFrame([(1, "plain words " * 20 + "Misintroduced here")], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
     assert [r.samples for r in registry.queries()["word_join_samples"](spark, str(tmp_path)).collect()] == ["misintroduced"]

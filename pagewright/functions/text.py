@@ -60,9 +60,11 @@ def infer_marker(marker: Column | str, orig: Column | str, text: Column | str) -
     return F.when(given != "", given).otherwise(F.regexp_extract(raw, r"(?U)^(\d+\.)\s+", 1))
 
 
-def with_marker(marker: Column, text: Column | str) -> Column:
-    """Text behind its marker, unless it starts with it."""
-    plain = normalize_text(text)
+def with_marker(marker: Column, text: Column | str, clean=normalize_text, always: bool = False) -> Column:
+    """Text behind its marker, unless it starts with it; with `always` then as well, and marker and space stay before blank text.  `clean` is what is done to the text itself."""
+    plain = clean(text)
+    if always:
+        return F.when(marker != "", F.concat(marker, F.lit(" "), plain)).otherwise(plain)
     return F.when((marker != "") & ~F.startswith(plain, marker), strip(F.concat_ws(" ", marker, plain))).otherwise(plain)
 
 

@@ -63,6 +63,10 @@ def test_blocks_of_odd_texts(spark, tmp_path, name):
     check_odd(spark, tmp_path, name)
 
 
+def test_list_markers_of_odd_texts(spark, tmp_path):
+    check_odd(spark, tmp_path, "list_markers")
+
+
 def test_word_joins_of_whole_texts(spark, tmp_path):
     spark.createDataFrame([(1, "plain words " * 20 + "Misintroduced here")], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
     assert [r.samples for r in registry.queries()["word_join_samples"](spark, str(tmp_path)).collect()] == ["misintroduced"]

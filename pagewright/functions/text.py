@@ -20,7 +20,9 @@ def present(c: Column | str) -> Column:
 
 def strip(c: Column | str) -> Column:
     """Without Unicode white space at both ends; null stays null."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    c = F.col(c) if isinstance(c, str) else c
+    ends = F.concat(F.left(c, F.lit(1)), F.right(c, F.lit(1)))  # most texts have none there and need no search
+    return F.when(F.rlike(ends, F.lit(r"(?U)\s")), F.regexp_replace(c, r"(?U)^\s+|\s+$", "")).otherwise(c)
 
 
 def trim_spaces(c: Column | str) -> Column:
@@ -30,7 +32,7 @@ def trim_spaces(c: Column | str) -> Column:
 
 def normalize_text(c: Column | str) -> Column:
     """Runs of Unicode white space as one space, none at the ends; null as empty text."""
-    return F.coalesce(strip(F.regexp_replace(c, SPACES, " ")), F.lit(""))
+    return F.coalesce(F.trim(F.regexp_replace(c, SPACES, " ")), F.lit(""))
 
 
 def slugify(c: Column | str, limit: int = 48) -> Column:
@@ -70,17 +72,19 @@ def with_marker(marker: Column, text: Column | str, clean=normalize_text, always
 
 def word_tokens(c: Column | str) -> Column:
     """Number of white-space separated words: the token counter that needs no vocabulary."""
-    plain = normalize_text(c)
-    return F.when(plain == "", 0).otherwise(F.size(F.split(plain, " ")))
+    c = F.col(c) if isinstance(c, str) else c
+    # a word starts behind white space or is the first: much cheaper than to match whole words
+    return F.coalesce(F.regexp_count(c, F.lit(r"(?U)\s\S")) + F.rlike(F.left(c, F.lit(1)), F.lit(r"(?U)\S")).cast("int"), F.lit(0))
 
 
 def word_tail(c: Column | str, limit: int) -> Column:
     """The last `limit` words; the text itself if it has no more, or if the limit is 0."""
-    words = F.split(normalize_text(c), " ")
+    words = F.array(F.split(normalize_text(c), " "))
     c = F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))
     if limit <= 0:
         return c
-    return F.when(F.size(words) <= limit, c).otherwise(F.array_join(F.slice(words, F.greatest(F.size(words) - limit + 1, F.lit(1)), limit), " "))
+    # the words are bound once, as a lambda's argument
+    return F.get(F.transform(words, lambda w: F.when(F.size(w) <= limit, c).otherwise(F.array_join(F.slice(w, F.greatest(F.size(w) - limit + 1, F.lit(1)), limit), " "))), F.lit(0))
 
 
 def progress_bar(done: Column | str, total: Column | str, detail: Column | str) -> Column:

@@ -7,6 +7,8 @@ by document.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -27,9 +29,17 @@ def table_text(caption: Column | str, rows: Column | str) -> Column:
 
 def chunk_units(elements: DataFrame) -> DataFrame:
     """Elements with the text that is chunked: tables with rows as lines, others stripped; blank ones are left out, null counts as blank."""
-    plain = strip(F.coalesce("text", F.lit("")))
-    units = elements.withColumn("text", F.when((F.col("type") == "table") & F.col("rows").isNotNull(), table_text("text", "rows")).otherwise(plain)) if "rows" in elements.columns else elements.withColumn("text", plain)
-    return units.filter(strip("text") != "")
+    plain, filled = strip(F.coalesce("text", F.lit(""))), lambda c: F.coalesce(F.rlike(c, F.lit(r"(?U)\S")), F.lit(False))
+    if "rows" not in elements.columns:
+        return elements.filter(filled(F.col("text"))).withColumn("text", plain)
+    table = (F.col("type") == "table") & F.col("rows").isNotNull()
+    # what is blank is told from the text as it came, so that it is stripped once
+    return elements.filter(F.when(table, filled(table_text("text", "rows"))).otherwise(filled(F.col("text")))).withColumn("text", F.when(table, table_text("text", "rows")).otherwise(plain))
+
+
+def counted_units(elements: DataFrame, tokens=word_tokens) -> DataFrame:
+    """Units with their number of tokens in place of text and rows: all that `chunk_places` needs, so that texts are not shuffled."""
+    return chunk_units(elements).withColumn("tokens", tokens("text").cast("long")).drop("text", "rows")
 
 
 def chunk_starts(tokens: np.ndarray, budget: int) -> np.ndarray:
@@ -68,33 +78,45 @@ def chunks(elements: DataFrame, budget: int = 1000, overlap: int = 150, hierarch
     in order; the first chunk's overlap is empty.  hierarchy holds (doc_id, section_id, hierarchy).
     """
 
+    units = chunk_units(elements).withColumn("tokens", tokens("text").cast("long"))
+    return _packed(units, budget, hierarchy, lambda text: tail(text, overlap)).select("doc_id", "chunk_no", "chunk_id", "page_range", "section_id", "hierarchy", "text", "prev_chunk_tail", "token_count")
+
+
+def chunk_places(units: DataFrame, budget: int = 1000, hierarchy: DataFrame | None = None) -> DataFrame:
+    """The chunks of `counted_units` as `chunks` makes them, without their texts and overlaps: (doc_id, chunk_no, chunk_id, page_range, section_id, hierarchy, token_count)."""
+    return _packed(units, budget, hierarchy, None).select("doc_id", "chunk_no", "chunk_id", "page_range", "section_id", "hierarchy", "token_count")
+
+
+def _packed(units: DataFrame, budget: int, hierarchy: DataFrame | None, tail: Callable[[Column], Column] | None) -> DataFrame:
+    """Chunks of units (doc_id, seq, tokens, and page_num, section_id, text); with `tail`, texts and the tails of those before."""
+
     @F.pandas_udf("array<int>")
     def starts_of(counts: pd.Series) -> pd.Series:
         return counts.map(lambda n: chunk_starts(n, budget) + 1)
 
-    units = chunk_units(elements).withColumn("seq", F.col("seq").cast("long")).withColumn("tokens", tokens("text").cast("long"))
+    units = units.withColumn("seq", F.col("seq").cast("long"))
     for name in ("section_id", "page_num"):
         if name not in units.columns:
             units = units.withColumn(name, F.lit(None).cast("string" if name == "section_id" else "int"))
     so_far = Window.partitionBy("doc_id").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
     # every unit knows the last section met, so a chunk's is that of its last unit
     units = units.withColumn("section_id", F.last(F.nullif(F.col("section_id"), F.lit("")), ignorenulls=True).over(so_far))
-    whole = units.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("seq", "text", "page_num", "section_id", "tokens"))).alias("units"))
+    whole = units.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("seq", *["text"] * bool(tail), "page_num", "section_id", "tokens"))).alias("units"))
     started = whole.withColumn("starts", starts_of(F.transform("units", lambda u: u["tokens"])))
     parts = F.transform("starts", lambda s, i: F.slice("units", s, F.coalesce(F.get("starts", i + 1), F.size("units") + 1) - s))
     text_of = lambda part: F.array_join(F.transform(part, lambda u: u["text"]), "\n\n")
 
     def chunk(doc: Column, part: Column, i: Column) -> Column:
+        texts = [F.get(doc["texts"], i).alias("text"), F.when(i == 0, F.lit("")).otherwise(tail(F.get(doc["texts"], i - 1))).alias("prev_chunk_tail")] if tail else []
         return F.struct(
-            F.get(doc["texts"], i).alias("text"),
+            *texts,
             F.array_sort(F.array_distinct(F.filter(F.transform(part, lambda u: u["page_num"]), lambda p: F.coalesce(p, F.lit(0)) != 0))).alias("page_range"),
             F.element_at(part, -1)["section_id"].alias("section_id"),
-            F.when(i == 0, F.lit("")).otherwise(tail(F.get(doc["texts"], i - 1), overlap)).alias("prev_chunk_tail"),
             F.aggregate(F.transform(part, lambda u: u["tokens"]), F.lit(0).cast("long"), lambda total, n: total + n).alias("token_count"),
         )
 
     # a document's chunks are made in its row, from arrays bound once: neither texts nor tails need another shuffle
-    bound = F.array(F.struct(parts.alias("parts"), F.transform(parts, text_of).alias("texts")))
+    bound = F.array(F.struct(parts.alias("parts"), *[F.transform(parts, text_of).alias("texts")] * bool(tail)))
     made = F.get(F.transform(bound, lambda doc: F.transform(doc["parts"], lambda part, i: chunk(doc, part, i))), F.lit(0))
     found = started.select("doc_id", F.posexplode(made).alias("at", "chunk")).select("doc_id", (F.col("at") + 1).cast("long").alias("chunk_no"), "chunk.*")
     found = found.withColumn("chunk_id", F.format_string("chunk_%04d", F.col("chunk_no")))
@@ -102,7 +124,7 @@ def chunks(elements: DataFrame, budget: int = 1000, overlap: int = 150, hierarch
         found = found.join(hierarchy.select("doc_id", "section_id", "hierarchy"), ["doc_id", "section_id"], "left").withColumn("hierarchy", F.coalesce("hierarchy", F.lit("")))
     else:
         found = found.withColumn("hierarchy", F.lit(""))
-    return found.select("doc_id", "chunk_no", "chunk_id", "page_range", "section_id", "hierarchy", "text", "prev_chunk_tail", "token_count")
+    return found
 
 
 def sentence_units(elements: DataFrame) -> DataFrame:

@@ -157,17 +157,24 @@ def sections_of(outline: DataFrame, headings: DataFrame, documents: DataFrame) -
     return outline_sections(outline, documents.join(with_outline, "doc_id", "left_semi")).unionByName(heading_sections(headings.join(with_outline, "doc_id", "left_anti"), documents.join(with_outline, "doc_id", "left_anti")))
 
 
-def page_sections(sections: DataFrame) -> DataFrame:
+#: The five columns an element gets from its section, by the section's own.
+PLACE = {"section_id": "section_id", "section_title": "title", "section_level": "level", "parent_section_id": "parent_id", "parent_section_title": "parent_title"}
+
+
+def _place(columns: tuple[str, ...]) -> Column:
+    return F.struct(*[F.col(PLACE[c]).alias(c) for c in columns])
+
+
+def page_sections(sections: DataFrame, columns: tuple[str, ...] = tuple(PLACE)) -> DataFrame:
     """(doc_id, page_num, section): the deepest section of every page, ties to the later start, then the later order."""
     pages = sections.filter("start_page <= end_page").withColumn("page_num", F.explode(F.sequence("start_page", "end_page")))
-    found = F.struct("section_id", F.col("title").alias("section_title"), F.col("level").alias("section_level"), F.col("parent_id").alias("parent_section_id"), F.col("parent_title").alias("parent_section_title"))
-    return pages.groupBy("doc_id", "page_num").agg(F.max_by(found, F.struct("level", "start_page", "order")).alias("section"))
+    return pages.groupBy("doc_id", "page_num").agg(F.max_by(_place(columns), F.struct("level", "start_page", "order")).alias("section"))
 
 
-def attach_sections(elements: DataFrame, sections: DataFrame) -> DataFrame:
-    """Elements with their section's five columns; a missing page, 0, or one outside all sections belongs to the root.  One equi-join on document and page."""
-    roots = sections.filter("source = 'synthetic_root'").select("doc_id", F.struct(F.col("section_id"), F.col("title").alias("section_title"), F.col("level").alias("section_level"), F.col("parent_id").alias("parent_section_id"), F.col("parent_title").alias("parent_section_title")).alias("root"))
-    joined = elements.join(page_sections(sections), ["doc_id", "page_num"], "left").join(roots, "doc_id", "left").withColumn("__section", F.coalesce("section", "root"))
+def attach_sections(elements: DataFrame, sections: DataFrame, columns: tuple[str, ...] = tuple(PLACE)) -> DataFrame:
+    """Elements with their section's five columns, or those named; a missing page, 0, or one outside all sections belongs to the root.  One equi-join on document and page."""
+    roots = sections.filter("source = 'synthetic_root'").select("doc_id", _place(columns).alias("root"))
+    joined = elements.join(page_sections(sections, columns), ["doc_id", "page_num"], "left").join(roots, "doc_id", "left").withColumn("__section", F.coalesce("section", "root"))
     return joined.drop("section", "root").select("*", "__section.*").drop("__section")
 
 

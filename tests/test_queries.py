@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 import os
+import re
 
 import duckdb
 import pytest
 
+from pyspark.sql import functions as F
+
 from pagewright import registry
+from pagewright.operators import chunk
+from pagewright.plans import adapters
 
 from .conftest import SF
 
@@ -63,6 +68,16 @@ def test_blocks_of_odd_texts(spark, tmp_path, name):
     check_odd(spark, tmp_path, name)
 
 
+@pytest.mark.parametrize("name", ["chunk_sections", "chunk_pages"])
+def test_places_of_chunks_need_no_texts(spark, tmp_path, name):
+    check_odd(spark, tmp_path, "chunk_pages")
+    odd = adapters.elements(spark, str(tmp_path)).withColumn("section_id", F.when(F.col("seq") % 4 == 1, F.col("seq").cast("string")))
+    whole, places = chunk.chunks(odd, 20, 5), chunk.chunk_places(chunk.counted_units(odd), 20)
+    assert sorted(map(str, whole.drop("text", "prev_chunk_tail").collect())) == sorted(map(str, places.collect()))
+    plan = registry.queries()[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "prev_chunk_tail" not in plan and "collect_list(struct(seq" in plan and not re.search(r"collect_list\(struct\(seq, [^)]*\btext\b", plan)
+
+
 def test_list_markers_of_odd_texts(spark, tmp_path):
     check_odd(spark, tmp_path, "list_markers")
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -29,12 +29,14 @@ _ARROW = pa.schema(
         ("source_label", pa.string()), ("docling_level", pa.int32()), ("text", pa.string()), ("raw_text", pa.string()), ("marker", pa.string()), ("enumerated", pa.bool_()), ("caption_refs", _STRINGS), ("captions", _STRINGS), ("rows", pa.list_(_STRINGS)), ("row_count", pa.int32()), ("col_count", pa.int32()),
     ]
 )
-_SPACE = re.compile(r"\s+")
+# What only the walk and an item's own fields give; the other columns need its texts.  A batch of elements ends once their layouts hold so many characters.
+_PLACED = frozenset(("doc_id", "file", "element_id", "source_ref", "page_num", "bbox", "bbox_coord_origin", "order", "source_parser", "source_label", "docling_level"))
+BATCH_CHARS = 4_000_000
 _NUMBER = re.compile(r"(\d+\.)\s+")
 
 
 def _flat(value: str | None) -> str:
-    return _SPACE.sub(" ", value or "").strip()
+    return " ".join((value or "").split())
 
 
 def _name(ref) -> str | None:
@@ -72,17 +74,19 @@ class _Layout:
         number = _NUMBER.match(_flat(item.get("orig") or item.get("text")))
         return found or (number[1] if number else "")
 
-    def text(self, item: dict) -> str:
-        text, marker = _flat(item.get("text")), self.marker(item)
+    def text(self, item: dict, marker: str | None = None) -> str:
+        text = _flat(item.get("text"))
+        marker = self.marker(item) if marker is None else marker
         return text if text.startswith(marker) else f"{marker} {text}".strip()
 
-    def kind(self, item: dict) -> str:
+    def kind(self, item: dict, marker: str) -> str:
         parent = self.items.get(_name(item.get("parent")) or "", {})
-        if item.get("label") == "section_header" and self.marker(item) and "list" in (parent.get("label"), parent.get("name")):
+        if item.get("label") == "section_header" and marker and "list" in (parent.get("label"), parent.get("name")):
             return "list_item"
         return LABEL_TYPES.get(item.get("label"), "text")
 
-    def element(self, name: str, order: int) -> dict:
+    def element(self, name: str, order: int, texts: bool = True) -> dict:
+        """The columns of an element; without `texts` only those of _PLACED."""
         item = self.items[name]
         place = (item.get("prov") or [None])[0] or {}
         box, part = place.get("bbox"), name.split("/")[1]
@@ -90,8 +94,11 @@ class _Layout:
             "element_id": f"p{int(place.get('page_no') or 0):04d}_e{order:05d}", "source_ref": name, "page_num": place.get("page_no"), "order": order, "source_parser": "docling", "source_label": item.get("label"), "docling_level": item.get("level"),
             "bbox": [float(box[c]) for c in "ltrb"] if box else None, "bbox_coord_origin": box.get("coord_origin") if box else None,
         }
+        if not texts:
+            return row
         if part == "texts":
-            row |= {"type": self.kind(item), "text": self.text(item), "raw_text": item.get("orig") or item.get("text") or "", "marker": self.marker(item) or None, "enumerated": item.get("enumerated")}
+            marker = self.marker(item)
+            row |= {"type": self.kind(item, marker), "text": self.text(item, marker), "raw_text": item.get("orig") or item.get("text") or "", "marker": marker or None, "enumerated": item.get("enumerated")}
         elif part == "tables":
             refs = [n for n in map(_name, item.get("captions") or []) if n]
             captions = [self.text(self.items[n]) for n in refs if n in self.items]
@@ -102,21 +109,36 @@ class _Layout:
         return row
 
 
-def flatten_layouts(layouts: DataFrame) -> DataFrame:
-    """Elements of layout documents (doc_id, file, layout JSON), numbered from 1 within each file.
+def flatten_layouts(layouts: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Elements of layout documents (doc_id, file, layout JSON), numbered from 1 within each file; all columns of ELEMENT, or those named.
 
-    Unknown names are skipped; a null layout gives no element.
+    Unknown names are skipped; a null layout gives no element.  Every element is made whatever the columns, but what
+    is not asked for leaves no worker.
     """
+    wanted = [c for c in _ARROW.names if columns is None or c in columns]
+    if columns is not None and set(columns) - set(wanted):
+        raise ValueError(f"no such columns: {sorted(set(columns) - set(wanted))}")
+    texts, kinds = not _PLACED.issuperset(wanted), {c: _ARROW.field(c).type for c in wanted}
+
+    def batch_of(rows: list[dict]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([r.get(c) for r in rows], kind) for c, kind in kinds.items()], names=wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, held = [], 0
         for batch in batches:
-            for doc_id, file, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if text is not None:
-                    layout = _Layout(json.loads(text))
-                    rows = [{"doc_id": doc_id, "file": file} | layout.element(name, i) for i, name in enumerate(layout.reading_order(), 1)]
-                    yield pa.RecordBatch.from_pylist(rows, _ARROW)
-
-    return layouts.select("doc_id", "file", "layout").mapInArrow(run, ELEMENT)
+            for doc_id, file, text in zip(*batch.columns, strict=True):
+                if (text := text.as_py()) is not None:
+                    layout, own = _Layout(json.loads(text)), {"doc_id": doc_id.as_py(), "file": file.as_py()}
+                    rows += [own | layout.element(name, i, texts) for i, name in enumerate(layout.reading_order(), 1)]
+                    held += len(text)
+                    if held >= BATCH_CHARS:
+                        yield batch_of(rows)
+                        rows, held = [], 0
+        if rows:
+            yield batch_of(rows)
+
+    schema = ", ".join(part for part in ELEMENT.split(", ") if part.split()[0].strip("`") in kinds)
+    return layouts.select("doc_id", "file", "layout").mapInArrow(run, schema)
 
 
 def reading_order(elements: DataFrame, accepted: DataFrame | None = None) -> DataFrame:

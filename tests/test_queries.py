@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pagewright import registry
-from pagewright.operators import chunk
+from pagewright.operators import chunk, flatten
 from pagewright.plans import adapters
 
 from .conftest import SF
@@ -78,6 +78,19 @@ def test_places_of_chunks_need_no_texts(spark, tmp_path, name):
     assert "prev_chunk_tail" not in plan and "collect_list(struct(seq" in plan and not re.search(r"collect_list\(struct\(seq, [^)]*\btext\b", plan)
 
 
+def test_flattened_columns_are_those_asked_for(spark, tmp_path):
+    check_odd(spark, tmp_path, "reading_order")
+    layouts = adapters.layouts(spark, str(tmp_path))
+    whole = flatten.flatten_layouts(layouts)
+    for columns in (["doc_id", "order", "source_ref", "bbox"], ["order", "text", "doc_id", "rows", "marker"]):
+        some = flatten.flatten_layouts(layouts, columns)
+        assert set(some.columns) == set(columns) and some.count() == whole.count()
+        assert sorted(map(str, some.select(*columns).collect())) == sorted(map(str, whole.select(*columns).collect()))
+    with pytest.raises(ValueError):
+        flatten.flatten_layouts(layouts, ["nothing"])
+    assert "raw_text" not in registry.queries()["reading_order"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_list_markers_of_odd_texts(spark, tmp_path):
     check_odd(spark, tmp_path, "list_markers")
 
